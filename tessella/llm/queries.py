@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm.bpe import encode_corpus
 from tessella.llm.components import components, entity_links
+from tessella.llm.garbled import find_garbled
 from tessella.llm.splitting import split_texts
 from tessella.llm.survivors import FieldRule, consensus, is_placeholder, known_sources, recency_rank, rule_survivors, trust_rank
 from tessella.runtime import table
@@ -139,5 +140,18 @@ def p8_ids(spark, folder):
     return encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+# ----------------------------------------------------------------- problem 10
+
+
+def p10_found(spark, folder):
+    """Documents that show characters of a wrong decoding."""
+    return find_garbled(table(spark, folder, "documents"), "doc_id", "text", False).where("garbled").select("doc_id").distinct()
+
+
+def p10_restored(spark, folder):
+    """Those documents with everything put back that can be."""
+    return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
+
+
+QUERIES = {"p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
 SQL = {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
