@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.llm.bpe import encode_corpus
+from tessella.llm.canonical import link_mentions
 from tessella.llm.components import components, entity_links
 from tessella.llm.garbled import find_garbled
 from tessella.llm.splitting import split_texts
@@ -132,6 +133,14 @@ P4_SQL = "\nUNION ALL\n".join(
     ]
 )
 
+# ------------------------------------------------------------------ problem 6
+
+
+def p6_found(spark, folder):
+    """The catalog entry that each mention's name means, empty if there is none."""
+    return link_mentions(table(spark, folder, "entities"), "mention_id", "name", table(spark, folder, "curriculum_catalog"), table(spark, folder, "term_lexicon"))
+
+
 # ------------------------------------------------------------------ problem 8
 
 
@@ -153,5 +162,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+QUERIES = {"p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
 SQL = {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
