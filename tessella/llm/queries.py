@@ -8,9 +8,10 @@ from tessella.llm.bpe import encode_corpus
 from tessella.llm.canonical import link_mentions
 from tessella.llm.components import components, entity_links
 from tessella.llm.garbled import find_garbled
+from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
 from tessella.llm.splitting import split_texts
 from tessella.llm.survivors import FieldRule, consensus, is_placeholder, known_sources, recency_rank, rule_survivors, trust_rank
-from tessella.runtime import table
+from tessella.runtime import Scratch, table
 
 # ------------------------------------------------------------------ problem 1
 
@@ -133,6 +134,26 @@ P4_SQL = "\nUNION ALL\n".join(
     ]
 )
 
+# ------------------------------------------------------------------ problem 5
+
+
+def _scans(spark, folder):
+    pdf = F.col("source_type") == "pdf"
+    raw = scan_items(table(spark, folder, "raw_documents"), F.col("doc_key"), F.col("raw_text"), F.col("source_file"), F.col("title"), "raw", pdf)
+    chunk = scan_items(table(spark, folder, "clean_chunks"), F.col("chunk_id"), F.col("normalized_content"), F.col("source_file"), F.col("chapter"), "chunk", pdf)
+    return raw.unionByName(chunk), word_list(table(spark, folder, "term_lexicon"))
+
+
+def p5_found(spark, folder):
+    """Each kind of noise in each scanned text."""
+    return scan_noise(*_scans(spark, folder), Scratch(spark, "scans"))
+
+
+def p5_repaired(spark, folder):
+    """The scanned texts as continuous paragraphs."""
+    return repair_scans(*_scans(spark, folder), Scratch(spark, "scans"))
+
+
 # ------------------------------------------------------------------ problem 6
 
 
@@ -162,5 +183,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+QUERIES = {"p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
 SQL = {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
