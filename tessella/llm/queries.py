@@ -8,6 +8,7 @@ from tessella.llm.bpe import encode_corpus
 from tessella.llm.canonical import link_mentions
 from tessella.llm.components import components, entity_links
 from tessella.llm.garbled import find_garbled
+from tessella.llm.nearcopies import near_groups, near_items, near_pairs
 from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
 from tessella.llm.splitting import split_texts
 from tessella.llm.survivors import FieldRule, consensus, is_placeholder, known_sources, recency_rank, rule_survivors, trust_rank
@@ -162,6 +163,36 @@ def p6_found(spark, folder):
     return link_mentions(table(spark, folder, "entities"), "mention_id", "name", table(spark, folder, "curriculum_catalog"), table(spark, folder, "term_lexicon"))
 
 
+# ------------------------------------------------------------------ problem 7
+
+
+def _near(spark, folder):
+    blank = F.lit("")
+    stem_and_code = F.concat(F.coalesce("stem", blank), F.lit("\n"), F.coalesce("code", blank))
+    questions = near_items(table(spark, folder, "questions"), "question", F.col("question_id"), stem_and_code)
+    return questions.unionByName(near_items(table(spark, folder, "clean_chunks"), "chunk", F.col("chunk_id"), F.col("content")))
+
+
+def p7_found(spark, folder):
+    """Every pair of near copies among the questions and among the chunks."""
+    return near_pairs(_near(spark, folder))
+
+
+def p7_groups(spark, folder):
+    """Every record with its group of near copies."""
+    return near_groups(_near(spark, folder))
+
+
+_SQUEEZED = "translate(lower({0}), ' ' || chr(9) || chr(10) || chr(13) || chr(12288), '')"
+P7_SQL = f"""WITH item AS (
+  SELECT DISTINCT 'question' AS k, question_id AS id, {_SQUEEZED.format("coalesce(stem, '') || chr(10) || coalesce(code, '')")} AS t FROM questions
+  UNION SELECT DISTINCT 'chunk', chunk_id, {_SQUEEZED.format("coalesce(content, '')")} FROM clean_chunks),
+gram AS (SELECT DISTINCT k, id, substr(t, i, 5) AS g FROM (SELECT k, id, t, unnest(range(1, length(t) - 3)) AS i FROM item WHERE length(t) >= 40)),
+size AS (SELECT k, id, count(*) AS n FROM gram GROUP BY ALL),
+pair AS (SELECT a.k, a.id AS x, b.id AS y, count(*) AS c FROM gram a JOIN gram b ON a.k = b.k AND a.g = b.g AND a.id < b.id GROUP BY ALL)
+SELECT pair.k AS item_kind, x AS key_a, y AS key_b FROM pair JOIN size p ON p.k = pair.k AND p.id = x JOIN size q ON q.k = pair.k AND q.id = y
+WHERE c / (p.n + q.n - c) >= 0.6"""
+
 # ------------------------------------------------------------------ problem 8
 
 
@@ -183,5 +214,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
-SQL = {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
+QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+SQL = {"p7_found": P7_SQL, "p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
