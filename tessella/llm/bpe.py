@@ -216,21 +216,25 @@ def encoder(folder: str, name: str) -> BytePairEncoder:
     return cache[folder, name]
 
 
-def encode_corpus(df: DataFrame, key: str, text: str, folder: str = DEFAULT_FOLDER, name: str = DEFAULT_NAME, count_only: bool = False) -> DataFrame:
+def encode_corpus(df: DataFrame, key: str, text: str, folder: str = DEFAULT_FOLDER, name: str = DEFAULT_NAME, count_only: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, ids) of every row, or (key, n_tokens) with ``count_only``.
 
     ``ids`` are those of the vocabulary without special tokens: text that looks
     like one is ordinary text.  Null and empty texts get an empty list.  One
     row comes out for each that goes in; the plan has no shuffle, and texts of
-    any length are encoded whole.
+    any length are encoded whole.  String columns named in ``keep`` come along.
     """
-    source = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
+    source = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"), *(F.col(c).cast("string").alias(f"kept_{i}") for i, c in enumerate(keep)))
     kind = pa.int32() if count_only else pa.list_(pa.int32())
 
+    names = ["key", "ids", *(f"kept_{i}" for i in range(len(keep)))]
+    more = "".join(f", kept_{i} string" for i in range(len(keep)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(folder, name)
         keys: list = []
         texts: list = []
+        others: list[list] = [[] for _ in keep]
         held = 0
 
         def flush() -> pa.RecordBatch:
@@ -239,18 +243,20 @@ def encode_corpus(df: DataFrame, key: str, text: str, folder: str = DEFAULT_FOLD
                 out = pa.array(np.diff(offsets).astype(np.int32))
             else:
                 out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), out.cast(kind)], names=["key", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), out.cast(kind), *(pa.array(o, pa.string()) for o in others)], names=names)
 
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, t, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 keys.append(k)
                 texts.append(t)
+                for o, x in zip(others, rest):
+                    o.append(x)
                 held += len(t or "")
                 if held > BATCH_CHARS:
                     yield flush()
-                    keys, texts, held = [], [], 0
+                    keys, texts, others, held = [], [], [[] for _ in keep], 0
         if keys:
             yield flush()
 
-    out = source.mapInArrow(run, "key bigint, ids int" if count_only else "key bigint, ids array<int>")
-    return out.select(F.col("key").alias(key), F.col("ids").alias("n_tokens" if count_only else "ids"))
+    out = source.mapInArrow(run, ("key bigint, ids int" if count_only else "key bigint, ids array<int>") + more)
+    return out.select(F.col("key").alias(key), F.col("ids").alias("n_tokens" if count_only else "ids"), *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)))

@@ -8,6 +8,7 @@ from tessella.llm.bpe import encode_corpus
 from tessella.llm.canonical import link_mentions
 from tessella.llm.components import components, entity_links
 from tessella.llm.garbled import find_garbled
+from tessella.llm.mixing import mixture
 from tessella.llm.nearcopies import near_groups, near_items, near_pairs
 from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
 from tessella.llm.splitting import split_texts
@@ -201,6 +202,19 @@ def p8_ids(spark, folder):
     return encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
 
+# ------------------------------------------------------------------ problem 9
+
+
+def p9_mix(spark, folder):
+    """The documents of the mixture and how often each is used."""
+    return mixture(table(spark, folder, "documents"), table(spark, folder, "source_targets"))[0]
+
+
+def p9_shares(spark, folder):
+    """The share that each source reaches."""
+    return mixture(table(spark, folder, "documents"), table(spark, folder, "source_targets"))[1]
+
+
 # ----------------------------------------------------------------- problem 10
 
 
@@ -214,5 +228,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
 SQL = {"p7_found": P7_SQL, "p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
