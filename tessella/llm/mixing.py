@@ -16,6 +16,7 @@ off by at most the landing's rounding of two documents a source.
 from __future__ import annotations
 
 import random
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -76,13 +77,27 @@ def fly(sizes: list[int], chances: list[float], rng: random.Random) -> list[floa
 
 
 def land(sizes: list[int], chances: list[float]) -> list[float]:
-    """The landing: the few undecided chances rounded so that the tokens are off least."""
+    """The landing: undecided chances rounded, then one swap that brings the tokens nearest to their due.
+
+    The flight leaves the extremes of size undecided, so rounding alone may be
+    off by the largest document; a taken and an untaken document change places
+    where that makes up for it.  The number of documents stays as rounded.
+    """
     open_ = [k for k, p in enumerate(chances) if 0.0 < p < 1.0]
     want = sum(chances[k] * sizes[k] for k in open_)
     best = min(range(1 << len(open_)), key=lambda m: (abs(sum(sizes[k] for b, k in enumerate(open_) if m >> b & 1) - want), m))
     out = list(chances)
     for b, k in enumerate(open_):
         out[k] = float(best >> b & 1)
+    off = sum(out[k] * sizes[k] for k in open_) - want
+    free = sorted((sizes[k], k) for k, p in enumerate(out) if p == 0.0)
+    swap = (abs(off), -1, -1)
+    for k in (k for k, p in enumerate(out) if p == 1.0):
+        at = bisect_left(free, (sizes[k] - off, -1))
+        for size, j in free[max(0, at - 1) : at + 1]:
+            swap = min(swap, (abs(off + size - sizes[k]), k, j))
+    if swap[1] >= 0:
+        out[swap[1]], out[swap[2]] = 0.0, 1.0
     return out
 
 
@@ -90,8 +105,7 @@ def _level(rows: DataFrame, number: int, seed: int, last: bool) -> DataFrame:
     """One level of flights over (source, block); the last one also lands."""
 
     def run(batch: pa.Table) -> pa.Table:
-        # Largest first: what stays undecided at the end is small.
-        rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("n_tokens", "doc_id", "chance"))), reverse=True)
+        rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("n_tokens", "doc_id", "chance"))))
         sizes, ids, chances = [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
         source, block = batch.column("source")[0].as_py(), batch.column("block")[0].as_py()
         out = fly(sizes, chances, random.Random(f"{seed}/{number}/{source}/{block}"))
