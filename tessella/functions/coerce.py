@@ -20,14 +20,10 @@ def first_text(*values: Column) -> Column:
 
 
 def safe_float(value: Column, default: float = 0.0) -> Column:
-    """A double in [0, 1]; NaN counts as 0, what can't be read as the default."""
-    number = F.expr(f"try_cast({_name(value)} AS double)") if isinstance(value, str) else value.try_cast("double")
-    number = F.when(F.isnan(number), F.lit(0.0)).otherwise(number)
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(number, F.lit(1.0))), F.lit(default))
-
-
-def _name(value: str) -> str:
-    return "`" + value.replace("`", "``") + "`"
+    """A double in [0, 1]; NaN counts as 0, null and what can't be read as the default."""
+    number = value.try_cast("double")
+    bounded = F.greatest(F.lit(0.0), F.least(number, F.lit(1.0)))
+    return F.when(number.isNull(), F.lit(default)).when(F.isnan(number), F.lit(0.0)).otherwise(bounded)
 
 
 def safe_int(value: Column, default: int) -> Column:

@@ -1 +1,39 @@
+"""Readers: text folders, exercise JSON, chunk and graph JSON."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessella.functions.coerce import first_text, text
+
+
+def read_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole text and Markdown files of a folder tree, sorted out by suffix; undecodable bytes are replaced."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,md}").load(folder)
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return files.select(name.alias("source_file"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("source_type"), F.decode("content", "UTF-8").alias("raw_text"))
+
+
+def read_exercises(spark: SparkSession, path: str) -> DataFrame:
+    """Exercises of JSON files: a list, or an object with ``questions``; each becomes one text.
+
+    Fields have alternative names; options may be a list or an object.
+    """
+    schema = "id string, question_id string, question string, stem string, options variant, answer string, analysis string, explanation string"
+    whole = spark.read.text(path, wholetext=True)
+    listed = F.coalesce(F.from_json("value", f"array<struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>>"), F.from_json("value", f"struct<questions:array<struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>>>")["questions"])
+    rows = whole.select(F.posexplode(listed).alias("at", "q"))
+    options = F.when(F.schema_of_variant("q.options").startswith("ARRAY"), F.try_variant_get("q.options", "$", "array<string>"))
+    named = F.transform(F.map_entries(F.try_variant_get("q.options", "$", "map<string,string>")), lambda e: F.concat(e["key"], F.lit(". "), e["value"]))
+    stem, analysis = first_text(F.col("q.question"), F.col("q.stem")), first_text(F.col("q.analysis"), F.col("q.explanation"))
+    line = lambda label, value: F.when(value != "", F.concat(F.lit(label), value))
+    body = F.concat_ws("\n", line("题干：", stem), F.array_join(F.coalesce(options, named), "\n"), line("答案：", text(F.col("q.answer"))), line("解析：", analysis))
+    return rows.select(first_text(F.col("q.id"), F.col("q.question_id"), (F.col("at") + 1).cast("string")).alias("question_id"), F.lit("exercise").alias("source_type"), body.alias("raw_text")).where("raw_text <> ''")
+
+
+def read_graph(spark: SparkSession, path: str, nodes: str, edges: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of a graph JSON file, with their order; DDL schemas are given."""
+    raw = spark.read.schema(f"nodes array<struct<{nodes}>>, edges array<struct<{edges}>>").json(path, multiLine=True)
+    take = lambda c: raw.select(F.posexplode(c).alias("ord", "r")).select("ord", "r.*")
+    return take("nodes"), take("edges")
