@@ -98,14 +98,14 @@ def fingerprints(mins: np.ndarray) -> np.ndarray:
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
-    """(texts, BANDS) of shard numbers: the band in the upper half, a hash of its min-hashes below."""
+    """(texts, BANDS) of 32-bit hashes of each band's min-hashes."""
     parts = mins.reshape(len(mins), BANDS, ROWS).astype(np.uint64)
     key = np.zeros((len(mins), BANDS), np.uint64)
     with np.errstate(over="ignore"):
         for r in range(ROWS):
             key = (key ^ parts[:, :, r]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
-    return ((np.arange(BANDS, dtype=np.uint64) << np.uint64(32)) | (key >> np.uint64(32))).astype(np.int64)
+    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 # ------------------------------------------------------- vantage-point trees
@@ -186,12 +186,12 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         prints = fingerprints(mins)
         bands = band_keys(mins)
         offsets = pa.array(np.arange(0, (batch.num_rows + 1) * BANDS, BANDS, dtype=np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array((bands & 0xFFFFFFFF).astype(np.uint32).view(np.int32).ravel()))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))
         raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WORDS * 8), batch.num_rows, [None, pa.py_buffer(prints.tobytes())]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], raw, lists], names=["item_kind", "item_key", "cid", "print", "bands"])
 
 
-def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _crowded(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by shard those that share it with another, numbered in blocks."""
     last_shard, last_cid, run = None, None, 0  # the row held back and its place in its run
     for batch in batches:
@@ -205,14 +205,14 @@ def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         follows = np.concatenate((~start[1:], [False]))
         keep = ~start | follows
         keep[-1] = False
-        out = [shard[keep], cid[keep], (place[keep] // BLOCK).astype(np.int32)]
+        out = [shard[keep], cid[keep], (place[keep] // block).astype(np.int32)]
         if last_shard is not None and (not start[0] or run > 0):
-            out = [np.concatenate(([v], o)) for v, o in zip((last_shard, last_cid, run // BLOCK), out)]
+            out = [np.concatenate(([v], o)) for v, o in zip((last_shard, last_cid, run // block), out)]
         last_shard, last_cid, run = shard[-1], cid[-1], int(place[-1])
         if len(out[0]):
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["shard", "cid", "block"])
     if last_shard is not None and run > 0:
-        yield pa.RecordBatch.from_arrays([pa.array([last_shard], pa.int64()), pa.array([last_cid], pa.int64()), pa.array([run // BLOCK], pa.int32())], names=["shard", "cid", "block"])
+        yield pa.RecordBatch.from_arrays([pa.array([last_shard], pa.int64()), pa.array([last_cid], pa.int64()), pa.array([run // block], pa.int32())], names=["shard", "cid", "block"])
 
 
 def _tree_pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def _similarity(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
-def near_classes(items: DataFrame, scratch: Scratch, threshold: float = 0.6, width: int = 5) -> tuple[DataFrame, DataFrame]:
+def near_classes(items: DataFrame, scratch: Scratch, threshold: float = 0.6, width: int = 5, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Members (item_kind, cid, item_key) and pairs (a, b, similarity) of different classes at or above the threshold.
 
     ``items`` are those of ``near_items``.  Only texts in a candidate pair are
@@ -311,11 +311,12 @@ def near_classes(items: DataFrame, scratch: Scratch, threshold: float = 0.6, wid
     members = scratch.write(sketch.select("item_kind", "cid", "item_key").distinct(), "members")
     # One representative row of each class goes into the shards.
     least = members.groupBy("cid").agg(F.min("item_key").alias("item_key"))
-    classes = sketch.join(least, ["cid", "item_key"], "left_semi").select("cid", "print", "bands").dropDuplicates(["cid"])
+    classes = sketch.join(least, ["cid", "item_key"], "left_semi").select("item_kind", "cid", "print", "bands").dropDuplicates(["cid"])
     classes = scratch.write(classes, "classes")
     scratch.drop("sketches")
-    rows = classes.select("cid", F.posexplode("bands").alias("band", "low")).select((F.shiftleft(F.col("band").cast("bigint"), 32) + (F.col("low").cast("bigint").bitwiseAND(0xFFFFFFFF))).alias("shard"), "cid")
-    crowded = rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(_crowded, "shard bigint, cid bigint, block int")
+    # Shards are of one kind: only its own texts may be copies of a text.
+    rows = classes.select("item_kind", "cid", F.posexplode("bands").alias("band", "low")).select(F.xxhash64("item_kind", "band", "low").alias("shard"), "cid")
+    crowded = rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda it: _crowded(it, block), "shard bigint, cid bigint, block int")
     crowded = scratch.write(crowded, "crowded")
     # A shard of several blocks is searched block against block, each in a task of its own.
     blocks = crowded.where("block > 0").groupBy("shard").agg(F.max("block").alias("last"))
@@ -333,31 +334,32 @@ def near_classes(items: DataFrame, scratch: Scratch, threshold: float = 0.6, wid
     pairs = scratch.write(pairs, "pairs")
     scratch.drop("crowded")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    texts = coded.select("cid", "text").join(needed, "cid", "left_semi").dropDuplicates(["cid"])
+    texts = coded.select("item_kind", "cid", "text").join(needed, "cid", "left_semi").dropDuplicates(["cid"])
     texts = scratch.write(texts, "texts")
-    both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+    side = lambda c: texts.select("item_kind", F.col("cid").alias(c), F.col("text").alias(f"text_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), ["b", "item_kind"]).select("a", "b", "text_a", "text_b")
     checked = both.mapInArrow(lambda it: _similarity(it, width), "a bigint, b bigint, similarity double").where(F.col("similarity") >= threshold)
     return members, scratch.write(checked, "checked")
 
 
-def near_pairs(items: DataFrame, threshold: float = 0.6, width: int = 5) -> DataFrame:
+def near_pairs(items: DataFrame, threshold: float = 0.6, width: int = 5, block: int = BLOCK) -> DataFrame:
     """(item_kind, key_a, key_b): every pair of keys of one kind at or above the threshold, key_a < key_b."""
     scratch = Scratch(items.sparkSession, "near")
-    members, pairs = near_classes(items, scratch, threshold, width)
+    members, pairs = near_classes(items, scratch, threshold, width, block)
     one = lambda c, k: members.select("item_kind", F.col("cid").alias(c), F.col("item_key").alias(k))
     copies = one("cid", "x").join(one("cid", "y"), ["item_kind", "cid"]).where("x < y").select("item_kind", F.col("x").alias("key_a"), F.col("y").alias("key_b"))
     across = pairs.select("a", "b").join(one("a", "x"), "a").join(one("b", "y").drop("item_kind"), "b")
     return copies.unionByName(across.select("item_kind", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")))
 
 
-def near_groups(items: DataFrame, threshold: float = 0.6, width: int = 5) -> DataFrame:
+def near_groups(items: DataFrame, threshold: float = 0.6, width: int = 5, block: int = BLOCK) -> DataFrame:
     """(item_kind, item_key, group_key, n_links): every record with its group and its number of partners.
 
     Groups are the components of the pairs; a record without partners is its
     own group.  Copies are counted through their class, never paired out.
     """
     scratch = Scratch(items.sparkSession, "near")
-    members, pairs = near_classes(items, scratch, threshold, width)
+    members, pairs = near_classes(items, scratch, threshold, width, block)
     group = components(pairs, "a", "b").select(F.col("vertex").alias("cid"), F.col("group_id").alias("root"))
     sizes = members.groupBy("cid").agg(F.count("*").alias("n"))
     around = pairs.select(F.col("a").alias("cid"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("cid"), F.col("a").alias("other")))
