@@ -3,13 +3,16 @@
 
 
 import unicodedata
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.window import Window
 
 from tessella.functions.coerce import fingerprint, safe_float, text
+from tessella.operators.matching import containing
 from tessella.runtime import Scratch, is_empty
 from tessella.vocabulary import NODE_TYPES, TYPE_ALIASES
 
@@ -85,3 +88,36 @@ def merged_nodes(entities: DataFrame, groups: DataFrame) -> DataFrame:
     rows = once.join(groups.select(F.col("vertex").alias("raw_id"), "root"), "raw_id", "left").select(F.coalesce("root", "raw_id").alias("root"), "name", "type", sure.alias("confidence"))
     order = F.struct(-F.col("confidence"), F.char_length("name"), F.col("name"))
     return rows.groupBy("root").agg(F.min_by("name", F.when(F.col("name").isNotNull(), order)).alias("name"), F.min("type").alias("type"), F.count("*").alias("members"), F.max("confidence").alias("confidence"))
+
+
+@F.pandas_udf(DoubleType())
+def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The share of characters in common blocks, by longest blocks first."""
+    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
+
+
+def similar_names(entities: DataFrame, least: float = 0.88, shortest: int = 2) -> DataFrame:
+    """(type, left, right, ratio): pairs of different fingerprints of a type that are nearly alike or one in the other.
+
+    No name is held against all others.  A ratio of ``least`` needs so many
+    characters in common that two names share one of their rarest few, which
+    the candidates are joined on; containment has its own join.  Names that
+    differ in marks only are one fingerprint from the start.
+    """
+    names = entities.select("type", fingerprint(F.col("name")).alias("name")).where("name <> '' AND type IS NOT NULL").distinct()
+    n = F.char_length("name")
+    letters = F.filter(F.split("name", ""), lambda x: x != "")
+    # A letter counts once per occurrence: its second one is another token.
+    marked = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.element_at(letters, i), F.size(F.filter(F.slice(letters, F.lit(1), i), lambda y: y == F.element_at(letters, i))).cast("string")))
+    tokens = names.select("type", "name", F.explode(marked).alias("token"))
+    rarity = tokens.groupBy("type", "token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("type", "name").orderBy("df", "token")
+    ranked = tokens.join(rarity, ["type", "token"]).withColumn("place", F.row_number().over(order))
+    # Of n letters at least n * least / (2 - least) are shared with any name near enough, so one of the first n - that + 1 is.
+    prefix = ranked.where(F.col("place") <= n - F.ceil(n * (least / (2 - least)) - 1e-9) + 1).select("type", "name", "token")
+    near = prefix.select("type", "token", F.col("name").alias("left")).join(prefix.select("type", "token", F.col("name").alias("right")), ["type", "token"]).where("left < right").select("type", "left", "right").distinct()
+    near = near.withColumn("ratio", matching_ratio("left", "right")).where(F.col("ratio") >= least)
+    inside = containing(names.select(F.concat("type", F.lit("\u0001"), "name").alias("id"), "name"), "id", "name", names.where(n > shortest), "name")
+    inside = inside.select(F.substring_index("id", "\u0001", 1).alias("type"), F.substring_index("id", "\u0001", -1).alias("whole"), F.col("phrase").alias("part")).where("whole <> part")
+    inside = inside.join(names.select("type", F.col("name").alias("part")), ["type", "part"], "left_semi").select("type", F.least("whole", "part").alias("left"), F.greatest("whole", "part").alias("right")).distinct()
+    return near.select("type", "left", "right").unionByName(inside).distinct().withColumn("ratio", F.round(matching_ratio("left", "right"), 4))

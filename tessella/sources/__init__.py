@@ -10,9 +10,9 @@ from tessella.functions.coerce import first_text, text
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Whole text and Markdown files of a folder tree, sorted out by suffix; undecodable bytes are replaced."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,md}").load(folder)
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return files.select(name.alias("source_file"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("source_type"), F.decode("content", "UTF-8").alias("raw_text"))
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{txt,md}")
+    name = F.col("_metadata.file_name")
+    return files.select(name.alias("source_file"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("source_type"), F.make_valid_utf8("value").alias("raw_text"))
 
 
 def read_exercises(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +22,8 @@ def read_exercises(spark: SparkSession, path: str) -> DataFrame:
     """
     schema = "id string, question_id string, question string, stem string, options variant, answer string, analysis string, explanation string"
     whole = spark.read.text(path, wholetext=True)
-    listed = F.coalesce(F.from_json("value", f"array<struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>>"), F.from_json("value", f"struct<questions:array<struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>>>")["questions"])
+    record = f"struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>"
+    listed = F.when(F.rlike("value", F.lit(r"^\s*\{")), F.from_json("value", f"struct<questions:array<{record}>>")["questions"]).otherwise(F.from_json("value", f"array<{record}>"))
     rows = whole.select(F.posexplode(listed).alias("at", "q"))
     options = F.when(F.schema_of_variant("q.options").startswith("ARRAY"), F.try_variant_get("q.options", "$", "array<string>"))
     named = F.transform(F.map_entries(F.try_variant_get("q.options", "$", "map<string,string>")), lambda e: F.concat(e["key"], F.lit(". "), e["value"]))
