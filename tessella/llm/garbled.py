@@ -39,6 +39,8 @@ PAIRS = (
 DOUBLE_BYTE = {"gb18030", "big5", "cp932"}
 #: Marks of a loss that no pair undoes, and what memory filled with a debug byte looks like.
 LOST = ("�", "锟斤拷", "锟斤", "斤拷", "烫烫烫", "屯屯屯")
+#: Control characters that no text is written with (the next-line control aside): bytes shown as themselves.
+CONTROLS = tuple(chr(c) for c in range(0x80, 0xA0) if c != 0x85)
 #: Opening and closing quotation marks.
 QUOTES = {"“": "”", "\"": "\"", "「": "」", "『": "』", "‘": "’", "《": "》"}
 LONGEST_QUOTE = 24
@@ -58,10 +60,17 @@ def hanzi(first: int, last: int) -> list[str]:
 
 def usual_characters() -> list[str]:
     """What texts are likely written with: level-one hanzi, CJK and general punctuation, accented letters."""
-    signs = [chr(c) for r in ((0xA1, 0x17F), (0x2010, 0x2027), (0x2030, 0x203A), (0x3000, 0x3020), (0xFF01, 0xFF5E)) for c in range(*r)]
+    signs = [chr(c) for r in ((0x80, 0x17F), (0x2010, 0x2027), (0x2030, 0x203A), (0x3000, 0x3020), (0xFF01, 0xFF5E)) for c in range(*r)]
     return hanzi(16, 55) + signs + ["€", "™", "→", "≠", "∑", "√", "−", "×"] + [chr(c) for c in range(0x3041, 0x30FF)]
 
 
+def other_characters() -> list[str]:
+    """What else a line may be written with: other scripts, marks, symbols; the usual hangul of the public KS X 1001 table."""
+    ranges = ((0x2000, 0x2070), (0x300, 0x370), (0x391, 0x3CA), (0x410, 0x450), (0x5D0, 0x5EB), (0x627, 0x64B), (0x2190, 0x2200), (0x2200, 0x2300), (0x2500, 0x2600), (0x2700, 0x27C0), (0xFE00, 0xFE10), (0xFF61, 0xFFA0), (0x1D400, 0x1D800), (0x1F300, 0x1F700), (0x1F900, 0x1FA00))
+    hangul = [bytes((row, cell)).decode("euc-kr") for row in range(0xB0, 0xC9) for cell in range(0xA1, 0xFF)]
+    return [chr(c) for r in ranges for c in range(*r)] + hangul
+
+
 def _table(encoding: str) -> str:
     """What each of the 256 bytes shows as in a one-byte encoding; undefined ones stay controls."""
     out = []
@@ -103,22 +112,25 @@ UNUSUAL = re.compile("[^" + re.escape("".join(sorted(COMMON | {c for c in LETTER
 
 def garbled_forms() -> dict[str, tuple[int, bool]]:
     """Every garbled form to (its pair's number, whether one of it is proof)."""
-    usual = usual_characters()
+    usual, other = usual_characters(), other_characters()
     forms: dict[str, tuple[int, bool]] = {}
     for n, (written, read) in enumerate(PAIRS):
         # One following character for each first byte that may come next.
         heads: dict[int, bytes] = {}
-        coded: list[bytes] = []
-        for c in [*usual, "a"]:
+        coded: list[tuple[bytes, bool]] = []
+        for rare, c in [*((False, c) for c in [*usual, "a"]), *((True, c) for c in other)]:
             try:
                 data = c.encode(written)
             except UnicodeEncodeError:
                 continue
-            heads.setdefault(data[0], data)
+            if not rare:
+                heads.setdefault(data[0], data)
             if len(data) > 1:
-                coded.append(data)
-        for own in coded:
-            shown = {misread(own + h, read)[:2] for h in heads.values()} if read in DOUBLE_BYTE else (misread(own, read),)
+                coded.append((data, rare))
+        for own, rare in coded:
+            # Rarer characters are followed by their like or by plain ASCII.
+            after = (own, b"a", b" ", b"\n") if rare else heads.values()
+            shown = {misread(own + h, read)[:2] for h in after} if read in DOUBLE_BYTE else (misread(own, read),)
             for g in shown:
                 if len(g) < 2 or "\ufffd" in g or g.isascii() or g in forms:
                     continue
@@ -135,7 +147,7 @@ def automaton() -> ahocorasick.Automaton:
         a = ahocorasick.Automaton()
         for g, (n, proof) in garbled_forms().items():
             a.add_word(g, (len(g), n, proof))
-        for g in LOST:
+        for g in (*LOST, *CONTROLS):
             a.add_word(g, (len(g), -1, True))
         a.make_automaton()
         cache.append(a)
