@@ -1,7 +1,7 @@
 """Property-graph operators: views, degrees, neighbourhoods, ranking, checks.
 
 A graph is a pair of DataFrames: nodes (id, name, type, description,
-confidence, aliases, ...) and edges (id, source, target, type, confidence,
+confidence) and edges (id, source, target, type, confidence,
 evidence).  Every operator is a plan over them; none collects the graph.
 """
 
@@ -25,7 +25,7 @@ def sound(confidence: Column) -> Column:
 
 
 def graph_nodes(rows: DataFrame) -> DataFrame:
-    """One node per id: first name and type, longest description, greatest sound confidence, all aliases.
+    """One node per id: first name and type, longest description, greatest sound confidence.
 
     The first row is the one with the smallest row_id.  Rows with a blank id are left out.
     """
@@ -36,11 +36,15 @@ def graph_nodes(rows: DataFrame) -> DataFrame:
         F.min_by("type", F.when(F.col("type").isNotNull(), F.col("row_id"))).alias("type"),
         F.max_by("description", F.when(F.col("description").isNotNull(), longest)).alias("description"),
         F.coalesce(F.max(sound(F.col("confidence"))), F.lit(0.0)).alias("confidence"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(distinct_texts(F.col("aliases")))))).alias("aliases"),
         F.min("row_id").alias("ord"),
     )
 
 
+def node_aliases(rows: DataFrame) -> DataFrame:
+    """(id, alias): every distinct alias of every node, stripped; rows, so that no node gathers them all."""
+    return rows.select(node_id(F.col("id")).alias("id"), F.explode(distinct_texts(F.col("aliases"))).alias("alias")).where("id <> ''").distinct()
+
+
 def graph_edges(rows: DataFrame) -> DataFrame:
     """One edge per (source, type, target): smallest id, greatest sound confidence, longest evidence."""
     keyed = rows.select("row_id", "id", node_id(F.col("source")).alias("source"), "type", node_id(F.col("target")).alias("target"), "confidence", "evidence").where("source <> '' AND target <> ''")
@@ -237,7 +241,6 @@ def shown_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         (54 + F.least(degree, F.lit(8)) * 5).alias("size"),
         "confidence",
         degree.alias("relation_count"),
-        F.size("aliases").cast("bigint").alias("alias_count"),
         text(F.col("description")).alias("summary"),
         F.when(F.col("type").isin(*EXPANDABLE_TYPES), F.col("id")).alias("children"),
     )

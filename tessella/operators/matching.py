@@ -11,13 +11,14 @@ def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase
 
     A phrase is looked up by its first ``gram`` characters (or all it has)
     among the substrings of the texts, an equi-join whose hits alone are
-    compared in full.  Neither side is broadcast or collected; a text of any
-    length is one row of distinct substrings per phrase length in use.
+    compared in full.  Neither side is broadcast or collected; a text gives its
+    distinct substrings of the head lengths in use, ``gram`` of them at most.
     """
     wanted = phrases.select(F.col(phrase).alias("phrase")).where("phrase <> ''").distinct().withColumn("head", F.substring("phrase", 1, gram))
     body = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
+    lengths = sorted(r.n for r in wanted.select(F.char_length("head").alias("n")).distinct().collect()) or [gram]
     starts = F.sequence(F.lit(1), F.char_length("text"))
-    substrings = F.flatten(F.transform(starts, lambda i: F.array(*(F.substring(F.col("text"), i, F.lit(n)) for n in range(1, gram + 1)))))
+    substrings = F.flatten(F.transform(starts, lambda i: F.array(*(F.substring(F.col("text"), i, F.lit(n)) for n in lengths))))
     # Only keys and heads meet here; a text comes back for the phrases whose head it holds.
     heads = body.select("key", F.explode(F.array_distinct(substrings)).alias("head"))
     near = heads.join(wanted, "head").select("key", "phrase").distinct()

@@ -69,18 +69,19 @@ def search_text(q: DataFrame) -> Column:
 
 
 def linkable(nodes: DataFrame) -> DataFrame:
-    """(id, name, type, aliases): nodes that questions may link to; of one name the last in table order."""
+    """(id, name, type): nodes that questions may link to; of one name the last in table order."""
     rows = nodes.where(F.col("type").isin(*LINKED_TYPES) & (text(F.col("name")) != ""))
-    return rows.groupBy("name").agg(F.max_by(F.struct("id", "type", "aliases"), "ord").alias("n")).select("n.id", "name", "n.type", "n.aliases")
+    return rows.groupBy("name").agg(F.max_by(F.struct("id", "type"), "ord").alias("n")).select("n.id", "name", "n.type")
 
 
-def candidates(questions: DataFrame, nodes: DataFrame, edges: DataFrame, most: int = 12) -> DataFrame:
+def candidates(questions: DataFrame, nodes: DataFrame, aliases: DataFrame, edges: DataFrame, most: int = 12) -> DataFrame:
     """(question_id, name, id, score, place): three points for each name or alias in the text, 0.8 for a neighbour of such a node.
 
     The ``most`` best of each question by score and name.
     """
     known = linkable(nodes)
-    phrases = known.select("name", "id", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("phrase")).withColumn("phrase", F.lower(text(F.col("phrase")))).where("phrase <> ''")
+    named = known.select("name", "id", F.col("name").alias("phrase")).unionByName(known.join(aliases, "id").select("name", "id", F.col("alias").alias("phrase")))
+    phrases = named.withColumn("phrase", F.lower(text(F.col("phrase")))).where("phrase <> ''")
     texts = questions.select("question_id", F.lower(search_text(questions)).alias("text"))
     hits = containing(texts, "question_id", "text", phrases, "phrase").join(phrases, "phrase")
     direct = hits.groupBy("question_id", "name", "id").agg((F.count("*") * 3.0).alias("score"))

@@ -251,7 +251,7 @@ def _case(column: str, groups, other: str) -> str:
 FROM (SELECT *, {_STRIP.format("description")} AS d, CASE WHEN {_STRIP.format("name")} <> '' THEN {_STRIP.format("name")} ELSE id END AS l FROM n) n LEFT JOIN deg USING (id)""",
 )
 def t18_shown_nodes(spark, nodes, edges):
-    return g.shown_nodes(nodes, edges).drop("alias_count")
+    return g.shown_nodes(nodes, edges)
 
 
 @query(
@@ -360,8 +360,14 @@ def v1_tree(spark, folder):
     return basic.crossJoin(orphans).crossJoin(loops)
 
 
-QUERIES |= {"g8_ancestors": g8_ancestors, "v1_tree": v1_tree}
+def c15_aliases(spark, folder):
+    """Every alias of every node."""
+    return g.node_aliases(table(spark, folder, "standard_nodes"))
+
+
+QUERIES |= {"c15_aliases": c15_aliases, "g8_ancestors": g8_ancestors, "v1_tree": v1_tree}
 SQL |= {
+    "c15_aliases": f"SELECT DISTINCT id, a AS alias FROM (SELECT lower(trim(id)) AS id, {_STRIP.format('a')} AS a FROM (SELECT id, unnest(aliases) AS a FROM standard_nodes)) WHERE id <> '' AND a <> ''",
     "g8_ancestors": "WITH RECURSIVE up AS (SELECT id, id AS ancestor, 0::BIGINT AS distance FROM curriculum_catalog UNION ALL SELECT u.id, c.parent_id, u.distance + 1 FROM up u JOIN curriculum_catalog c ON c.id = u.ancestor WHERE c.parent_id IN (SELECT id FROM curriculum_catalog)) SELECT * FROM up",
     "v1_tree": "SELECT count(*) AS nodes, count(DISTINCT id) AS ids, count_if(id = 'ROOT')::BIGINT AS roots, count_if(id = 'ROOT' AND coalesce(parent_id, '') <> '')::BIGINT AS rooted_wrongly, (SELECT count(*) FROM curriculum_catalog WHERE id <> 'ROOT' AND parent_id NOT IN (SELECT id FROM curriculum_catalog)) AS orphans, 0::BIGINT AS in_loops FROM curriculum_catalog",
 }

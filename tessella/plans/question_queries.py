@@ -91,15 +91,18 @@ link AS (SELECT question_id, name, id, CASE WHEN place <= 2 AND score >= 3 THEN
 """
 
 
-def _links(spark, folder):
+def _candidates(spark, folder):
     nodes, edges = _graph(spark, folder)
-    return q.rule_links(q.candidates(_questions(spark, folder), nodes, edges))
+    return q.candidates(_questions(spark, folder), nodes, g.node_aliases(table(spark, folder, "standard_nodes")), edges)
+
+
+def _links(spark, folder):
+    return q.rule_links(_candidates(spark, folder))
 
 
 @query("j6_candidates", f"{KG}, {QQ}, {_LINKED} SELECT question_id, name, id, score, place FROM cand WHERE place <= 12")
 def j6_candidates(spark, folder):
-    nodes, edges = _graph(spark, folder)
-    return q.candidates(_questions(spark, folder), nodes, edges).select("question_id", "name", "id", "score", F.col("place").cast("bigint").alias("place"))
+    return _candidates(spark, folder).select("question_id", "name", "id", "score", F.col("place").cast("bigint").alias("place"))
 
 
 @query("w7_links", f"{KG}, {QQ}, {_LINKED} SELECT * FROM link")
@@ -220,7 +223,7 @@ def k4_edge_statements(spark, folder):
 @query("k4_node_statements")
 def k4_node_statements(spark, folder):
     """One import statement per node."""
-    return sinks.node_statements(_graph(spark, folder)[0])
+    return sinks.node_statements(_graph(spark, folder)[0], g.node_aliases(table(spark, folder, "standard_nodes")))
 
 
 @query("k7_question_edges", f"WITH {QQ} SELECT question_id, 'HAS_TYPE' AS relation, type AS value FROM qq UNION ALL SELECT question_id, 'HAS_DIFFICULTY', difficulty::VARCHAR FROM qq UNION ALL SELECT DISTINCT question_id, 'REQUIRES_ABILITY', unnest(abilities) FROM qq")

@@ -32,8 +32,13 @@ def flat_nodes(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", F.trim("id").alias("id"), F.coalesce("name", F.lit("")).alias("name"), "type", safe_float(F.col("confidence"), 0.0).alias("confidence"), source_values(F.col("sources"), "source_file").alias("source_files"), source_values(F.col("sources"), "page").alias("source_pages"), F.to_json(F.coalesce("sources", F.array())).alias("sources_json"))
 
 
-def node_statements(nodes: DataFrame) -> DataFrame:
-    """One idempotent script statement per node."""
+def node_statements(nodes: DataFrame, aliases: DataFrame) -> DataFrame:
+    """One idempotent script statement per node; ``aliases`` is (id, alias), each pair once.
+
+    A statement holds all aliases of its node, so it is as long as they are.
+    """
+    listed = aliases.groupBy("id").agg(F.array_sort(F.collect_list("alias")).alias("aliases"))
+    nodes = nodes.join(listed, "id", "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
     head = F.concat(F.lit("MERGE (n:KnowledgeNode:"), identifier(F.col("type")), F.lit(" {id: "), quoted(F.col("id")), F.lit("})\nSET n += {"))
     body = F.concat(F.lit("name: "), quoted(F.col("name")), F.lit(", type: "), quoted(F.col("type")), F.lit(", aliases: "), quoted_list(F.col("aliases")), F.lit("};"))
     return nodes.select("id", F.concat(head, body).alias("statement"))

@@ -27,8 +27,9 @@ def test_graph_json(spark, tmp_path):
 
 
 def test_statements_escape_and_sanitise(spark):
-    df = spark.createDataFrame([('a"1', 'say "x"\n', "My Type-1", ["p", 'q"'])], "id string, name string, type string, aliases array<string>")
-    (row,) = sinks.node_statements(df).collect()
+    df = spark.createDataFrame([('a"1', 'say "x"\n', "My Type-1")], "id string, name string, type string")
+    aliases = spark.createDataFrame([('a"1', 'q"'), ('a"1', "p")], "id string, alias string")
+    (row,) = sinks.node_statements(df, aliases).collect()
     assert row.statement == 'MERGE (n:KnowledgeNode:My_Type_1 {id: "a\\"1"})\nSET n += {name: "say \\"x\\"\\n", type: "My Type-1", aliases: ["p", "q\\""]};'
 
 
