@@ -255,17 +255,16 @@ def inspect_scans(items: DataFrame, dictionary: list[str]) -> DataFrame:
     return items.mapInArrow(run, "item_kind string, item_key string, file string, noise array<string>, candidates array<struct<no:int,line:string,names:boolean>>")
 
 
-def running_lines(inspected: DataFrame, least: int = 2) -> DataFrame:
-    """(file, line): edge lines of ``least`` or more pages of a file of which one names the work or editors.
+def running_lines(inspected: DataFrame) -> DataFrame:
+    """(file, line): edge lines of two different pages or more of a file, of which one names the work or editors.
 
-    Lines are counted with map-side partials, so a file with a third of all
-    pages is no hot spot; pages delivered twice count once a partition and the
-    approximation errs only for lines of a single page delivered twice, which
-    the least and greatest page key then tell apart.
+    Two pages differ if the least and the greatest page key with the line do,
+    so pages delivered twice count once and a file with a third of all pages
+    costs its map-side partials only.
     """
     rows = inspected.where("file IS NOT NULL").select("file", F.concat_ws(":", "item_kind", "item_key").alias("page"), F.inline("candidates"))
-    counted = rows.groupBy("file", "line").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.count("*").alias("n"), F.max("names").alias("names"))
-    return counted.where((F.col("first") < F.col("last")) & (F.col("n") >= least) & F.col("names")).select("file", "line")
+    counted = rows.groupBy("file", "line").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.max("names").alias("names"))
+    return counted.where((F.col("first") < F.col("last")) & F.col("names")).select("file", "line")
 
 
 def scan_noise(items: DataFrame, dictionary: list[str], scratch) -> DataFrame:
