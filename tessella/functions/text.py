@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What counts as outer blank besides the space.
@@ -27,3 +27,12 @@ def is_blank(text: Column) -> Column:
 def squeeze(text: Column) -> Column:
     """Lower case without space, tab, CR, LF and U+3000; null becomes empty."""
     return F.translate(F.lower(F.coalesce(text, F.lit(""))), OUTER_BLANKS, "")
+
+
+def fixed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The columns added so that each is computed once a row, however often later steps use it.
+
+    A projection may be merged into what uses it and then be computed for each
+    use; a generator of one row is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))

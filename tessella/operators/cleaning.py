@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.coerce import text
+from tessella.functions.text import fixed
 from tessella.vocabulary import BACKGROUND, KEYWORDS, ROLES, STRONG_KEYWORDS, TERMS, WEAK_KEYWORDS
 
 #: Lines that carry no content, compared after stripping.
@@ -156,9 +157,9 @@ def preprocess(raw: DataFrame, page_score: int = 3, chunk_score: int = 3) -> Dat
     that of the deduplication, no Python.
     """
     once = raw.dropDuplicates(["doc_key"])
-    cleaned = once.withColumn("cleaned", clean_text(F.col("raw_text"))).where((F.col("cleaned") != "") & (relevance(F.col("cleaned")) >= page_score))
+    cleaned = fixed(once, cleaned=clean_text(F.col("raw_text"))).where((F.col("cleaned") != "") & (relevance(F.col("cleaned")) >= page_score))
     cut = cleaned.select("doc_key", "source_file", "source_type", "page", "question_id", "title", F.posexplode(chunk_texts(F.col("cleaned"), F.col("source_type"))).alias("at", "content"))
-    kept = cut.withColumn("keywords", matched_keywords(F.col("content"))).where((F.size("keywords") > 0) & (relevance(F.col("content")) >= F.when(F.col("source_type") == "exercise", 2).otherwise(chunk_score)))
+    kept = fixed(cut, keywords=matched_keywords(F.col("content"))).where((F.size("keywords") > 0) & (relevance(F.col("content")) >= F.when(F.col("source_type") == "exercise", 2).otherwise(chunk_score)))
     asked = text(F.col("question_id"))
     location = F.when(asked != "", asked).otherwise(F.coalesce(F.col("page").cast("string"), F.lit("doc")))
     return kept.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.coerce import adjusted_confidence, hash_id, round4, short_evidence
+from tessella.functions.text import fixed
 from tessella.vocabulary import CONCEPTS, SYNTAX, SYNTAX_CONCEPTS, TERMS
 
 #: Fixed value: what makes a text look like code.
@@ -73,7 +74,7 @@ def rule_entities(chunks: DataFrame) -> DataFrame:
     normal = F.coalesce(F.col("content"), F.lit(""))
     for old, new in (("OOP", PARADIGM), ("面向对象", PARADIGM), ("面向对象程序设计", PARADIGM), *TERMS[2:]):
         normal = F.regexp_replace(normal, f"(?iu)\\Q{old}\\E", new)
-    rows = chunks.withColumn("_concepts", concepts_in(normal)).withColumn("_syntax", syntax_in(F.col("content")))
+    rows = fixed(fixed(chunks, _normal=normal), _concepts=concepts_in(F.col("_normal")), _syntax=syntax_in(F.col("content")))
     known = ~F.coalesce(F.col("language"), F.lit("")).isin(*NO_LANGUAGE)
     none = F.array().cast("array<struct<name:string,type:string,confidence:double,evidence:string>>")
     expressed = F.create_map(*(F.lit(x) for kv in SYNTAX_CONCEPTS.items() for x in kv))

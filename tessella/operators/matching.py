@@ -5,21 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.runtime import Scratch
+
+#: Phrases that are sent to every task at most; more are joined by a shuffle.
+SENT = 100_000
+#: Phrases shorter than a head that are looked for one by one at most.
+SINGLY = 200
+
 
 def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str, gram: int = 4) -> DataFrame:
     """(key, phrase): each text with each distinct phrase it contains, exactly and case as given.
 
-    A phrase is looked up by its first ``gram`` characters (or all it has)
-    among the substrings of the texts, an equi-join whose hits alone are
-    compared in full.  Neither side is broadcast or collected; a text gives its
-    distinct substrings of the head lengths in use, ``gram`` of them at most.
+    A phrase is looked up by its first ``gram`` characters among the substrings
+    of the texts, an equi-join whose hits alone are compared in full.  The
+    phrases are written and counted first: up to ``SENT`` of them, cut to a
+    bounded length, are broadcast, more are shuffled.  Phrases shorter than
+    ``gram`` are looked for one by one if they are few and by their own
+    substrings if not.  Nulls and empty texts and phrases give nothing.
     """
-    wanted = phrases.select(F.col(phrase).alias("phrase")).where("phrase <> ''").distinct().withColumn("head", F.substring("phrase", 1, gram))
-    body = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
-    lengths = sorted(r.n for r in wanted.select(F.char_length("head").alias("n")).distinct().collect()) or [gram]
-    starts = F.sequence(F.lit(1), F.char_length("text"))
-    substrings = F.flatten(F.transform(starts, lambda i: F.array(*(F.substring(F.col("text"), i, F.lit(n)) for n in lengths))))
+    scratch = Scratch(texts.sparkSession, "containing")
+    wanted = phrases.select(F.col(phrase).cast("string").alias("phrase")).where("phrase <> ''").distinct()
+    wanted = scratch.write(wanted.select("phrase", F.substring("phrase", 1, gram).alias("head"), F.char_length("phrase").alias("n")), "phrases")
+    body = texts.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text <> ''")
+    short = [r.phrase for r in wanted.where(F.col("n") < gram).orderBy("phrase").limit(SINGLY + 1).collect()]
+    out = None
+    if short and len(short) <= SINGLY:
+        each = F.array_compact(F.array(*(F.when(F.contains("text", F.lit(p)), F.lit(p)) for p in short)))
+        out = body.select("key", F.explode(each).alias("phrase"))
+        lengths = [gram]
+    else:
+        lengths = sorted({r.n for r in wanted.select(F.least("n", F.lit(gram)).alias("n")).distinct().collect()} | {gram})
+    long = wanted.where(F.col("n") >= gram) if out is not None else wanted
+    # A lookahead matches at every position, so one pass over the text gives all substrings of a length.
+    substrings = F.concat(*(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths))
+    heads = body.select("key", F.explode(substrings).alias("head"))
+    table = long.select("phrase", "head")
+    bounded = wanted.agg(F.count("*").alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()
+    if bounded.rows <= SENT and bounded.n <= 200:
+        table = F.broadcast(table)
     # Only keys and heads meet here; a text comes back for the phrases whose head it holds.
-    heads = body.select("key", F.explode(F.array_distinct(substrings)).alias("head"))
-    near = heads.join(wanted, "head").select("key", "phrase").distinct()
-    return near.join(body, "key").where(F.contains("text", F.col("phrase"))).select(F.col("key").alias(key), "phrase").distinct()
+    near = heads.join(table, "head").select("key", "phrase").distinct()
+    found = near.join(body, "key").where(F.contains("text", F.col("phrase"))).select("key", "phrase")
+    both = found if out is None else out.unionByName(found)
+    return both.select(F.col("key").alias(key), "phrase").distinct()
