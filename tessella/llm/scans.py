@@ -44,7 +44,8 @@ EDGE, LONGEST_RUNNING = 2, 80
 class Decoder:
     """The word lattice over a dictionary."""
 
-    WORD, SLIP, SINGLE = 1.0, 1.2, 1.2
+    #: Costs of a word, of each look-alike in it, of a character by itself, and of one that is a look-alike of some word's.
+    WORD, SLIP, SINGLE, ODD = 1.0, 1.2, 1.2, 2.1
 
     def __init__(self, dictionary: list[str], most_slips: int = 3):
         words = {d.strip().lower() for d in dictionary if d and d.strip()}
@@ -77,7 +78,7 @@ class Decoder:
                     else:
                         self.han.setdefault(v, (w, k))
         self.longest = max(map(len, self.han), default=1)
-        odd = {s for v, (w, k) in self.han.items() if k for s, c in zip(v, w) if s != c}
+        odd = self.odd_set = {s for v, (w, k) in self.han.items() if k for s, c in zip(v, w) if s != c}
         self.odd = re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd else re.compile(r"(?!)")
 
     def decode_han(self, run: str) -> tuple[str, int]:
@@ -86,7 +87,7 @@ class Decoder:
         cost = [0.0] + [1e9] * n
         back: list[tuple[int, str, int]] = [(0, "", 0)] * (n + 1)
         for i in range(n):
-            c = cost[i] + self.SINGLE
+            c = cost[i] + (self.ODD if run[i] in self.odd_set else self.SINGLE)
             if c < cost[i + 1]:
                 cost[i + 1], back[i + 1] = c, (i, run[i], 0)
             for j in range(i + 2, min(n, i + self.longest) + 1):
