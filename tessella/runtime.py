@@ -27,6 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folders of all operator calls of this process, for ``release``.
+_MADE: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Removes the tables of all operator calls so far; for when their results are read or stored."""
+    for base in _MADE:
+        target = spark._jvm.org.apache.hadoop.fs.Path(base)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _MADE.clear()
+
+
 class Scratch:
     """Tables written during one operator call, under one sub-folder.
 
@@ -38,6 +50,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        _MADE.append(self.base)
         self.count = 0
         self.paths: dict[str, str] = {}
 

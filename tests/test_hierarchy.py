@@ -68,3 +68,15 @@ def test_descendants_and_counts(spark):
     tree = resolve_hierarchy(table(spark, [("a", None), ("b", "a"), ("c", "b"), ("x", "y"), ("y", "x")]))
     assert {tuple(r) for r in descendants(tree).collect()} == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1)}
     assert {r.id: r.n_descendants for r in hierarchy_table(tree).collect()} == {"a": 2, "b": 1, "c": 0, "x": None, "y": None}
+
+
+def test_release_removes_what_the_operators_wrote(spark):
+    import os
+
+    from tessella import runtime
+
+    resolve_hierarchy(table(spark, [("a", None), ("b", "a")])).collect()
+    folders = [b.removeprefix("file://") for b in runtime._MADE]
+    assert any(os.path.isdir(f) for f in folders)
+    runtime.release(spark)
+    assert not any(os.path.isdir(f) for f in folders) and not runtime._MADE
