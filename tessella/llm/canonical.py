@@ -23,8 +23,8 @@ VARIANTS = (
     "臨临 樂乐 觀观 號号 內内 聯联 備备 凍冻 結结 數数 體体 層层 區区 間间 協协 單单 壓压 縮缩 雙双 讀读 並并 併并 儲储 護护 稱称 對对 齊齐 開开 環环 組组 廠厂 軌轨 遲迟 彈弹 檔档 鏈链 塊块 "
     "陣阵 離离 線线 類类 載载 緊紧 級级 緩缓 衝冲 沖冲 檢检 虛虚 擬拟 裝装 飾饰 計计 詞词 機机 語语 樹树 調调 貪贪 轉转 發发 遷迁 遠远 綁绑 鄰邻 釋释 鎖锁 鏡镜 隊队 隨随 隱隐 靜静 預预 態态 狀状 "
     "標标 記记 幀帧 棧栈 驗验 較较 換换 銷销 針针 斷断 掃扫 疊叠 熱热 攔拦 撲扑 複复 復复 歸归 長长 會会 動动 節节 從从 門门 執执 無无 義义 實实 現现 關关 於于 麼么 為为 爲为 點点 礎础 簡简 課课 "
-    "題题 練练 習习 證证 誤误 變变 應应 碼码 編编 總总 錄录 牆墙 頁页 張张 與与 兩两 個个 歷历 曆历 圖图 書书 學学 師师 務务 據据 網网 絡络 極极 導导 權权 構构 處处 異异 訊讯 輸输 邊边 過过 還还 這这 "
-    "進进 適适 選选 錯错 際际 險险 顯显 補补 見见 視视 覽览 訂订 認认 許许 設设 評评 試试 詢询 詳详 說说 請请 論论 識识 議议 變变 讓让 貫贯 費费 資资 質质 趨趋 踐践 車车 軟软 輪轮 輯辑 辦办 達达 運运 邏逻 配配 鍵键 閉闭 問问 陳陈 階阶 雜杂 難难 電电 項项 順顺 須须 頭头 頻频 額额 驅驱 齡龄"
+    "題题 練练 習习 證证 誤误 變变 應应 碼码 編编 總总 錄录 與与 兩两 個个 圖图 書书 學学 據据 網网 絡络 極极 導导 權权 構构 處处 異异 訊讯 輸输 邊边 過过 還还 這这 "
+    "進进 適适 選选 錯错 顯显 補补 見见 視视 覽览 認认 許许 設设 評评 試试 詳详 說说 請请 論论 識识 議议 讓让 資资 質质 踐践 軟软 輪轮 辦办 達达 運运 邏逻 配配 鍵键 閉闭 問问 陳陈 階阶 雜杂 難难 電电 項项 順顺 須须 頭头 頻频 額额"
 )
 SIMPLIFIED = str.maketrans({p[0]: p[1] for p in VARIANTS.split()})
 #: Words that only embellish a name.
