@@ -7,6 +7,7 @@ declared ranks; it exists because survival by trust, recency and completeness
 is not a function of the values' wording, which is all a consensus sees.
 """
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.runtime import Scratch
+
 #: Words that stand for a missing value, compared trimmed and in lower case.
 PLACEHOLDERS = ("", "-", "n/a", "null", "unknown", "无", "未知", "待补充")
 #: Origins from most to least trusted; anything else, null included, comes last.
@@ -74,36 +77,48 @@ def rule_survivors(df: DataFrame, group_key: Column, row_id: str, updated_at: st
 TOKEN = re.compile(r"[0-9]+|[A-Za-z_]+|\s+|.", re.DOTALL)
 
 
-def align(profile: list[dict[str, float]], tokens: list[str], weight: float, total: float) -> list[dict[str, float]]:
-    """Adds one token sequence to a column profile by global alignment.
+def align(left: list[dict[str, float]], right: list[dict[str, float]], left_total: float, right_total: float) -> list[dict[str, float]]:
+    """Merges two column profiles by global alignment; a text is a profile of one token a column.
 
     A column maps tokens to the weight that voted for them; '' is the gap.
-    A match scores the column's share of the token, a gap costs a half.
+    A match scores the chance that both columns name one token, a gap costs a half.
     """
-    n, m, gap = len(profile), len(tokens), -0.5
+    n, m, gap = len(left), len(right), -0.5
+    shares = [[(t, w / right_total / left_total) for t, w in c.items() if t] for c in right]
+
+    def match(column: dict[str, float], share: list[tuple[str, float]]) -> float:
+        if len(share) <= len(column):
+            return 2 * sum([column.get(t, 0.0) * s for t, s in share]) - 0.6
+        known = dict(share)
+        return 2 * sum([w * known.get(t, 0.0) for t, w in column.items()]) - 0.6
+
     score = [[0.0] * (m + 1) for _ in range(n + 1)]
+    pair = [[0.0] * m for _ in range(n)]
     for i in range(1, n + 1):
         score[i][0] = i * gap
     for j in range(1, m + 1):
         score[0][j] = j * gap
     for i in range(1, n + 1):
-        column, row, above = profile[i - 1], score[i], score[i - 1]
+        column, row, above, pairs = left[i - 1], score[i], score[i - 1], pair[i - 1]
         for j in range(1, m + 1):
-            share = column.get(tokens[j - 1], 0.0) / total
-            row[j] = max(above[j - 1] + (2 * share - 0.6), above[j] + gap, row[j - 1] + gap)
+            share = shares[j - 1]
+            pairs[j - 1] = p = 2 * column.get(share[0][0], 0.0) * share[0][1] - 0.6 if len(share) == 1 else match(column, share)
+            row[j] = max(above[j - 1] + p, above[j] + gap, row[j - 1] + gap)
     out: list[dict[str, float]] = []
     i, j = n, m
     while i or j:
-        if i and j and abs(score[i][j] - (score[i - 1][j - 1] + 2 * profile[i - 1].get(tokens[j - 1], 0.0) / total - 0.6)) < 1e-9:
-            column = dict(profile[i - 1])
-            column[tokens[j - 1]] = column.get(tokens[j - 1], 0.0) + weight
+        if i and j and abs(score[i][j] - (score[i - 1][j - 1] + pair[i - 1][j - 1])) < 1e-9:
+            column = dict(left[i - 1])
+            for t, w in right[j - 1].items():
+                column[t] = column.get(t, 0.0) + w
             i, j = i - 1, j - 1
         elif i and abs(score[i][j] - (score[i - 1][j] + gap)) < 1e-9:
-            column = dict(profile[i - 1])
-            column[""] = column.get("", 0.0) + weight
+            column = dict(left[i - 1])
+            column[""] = column.get("", 0.0) + right_total
             i -= 1
         else:
-            column = {"": total, tokens[j - 1]: weight}
+            column = dict(right[j - 1])
+            column[""] = column.get("", 0.0) + left_total
             j -= 1
         out.append(column)
     out.reverse()
@@ -119,49 +134,86 @@ def edit_distance(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-def consensus_value(values: list[tuple[str, float]]) -> str:
-    """The value of ``values`` (text, weight) whose tokens lie closest to the weighted consensus."""
-    ordered = sorted(values, key=lambda v: (-v[1], v[0]))
-    split = [TOKEN.findall(v) for v, _ in ordered]
-    total = ordered[0][1]
-    profile = [{t: total} for t in split[0]]
-    for tokens, (_, weight) in zip(split[1:], ordered[1:]):
-        profile = align(profile, tokens, weight, total)
+def merged_profile(parts: list[tuple[list[dict[str, float]], float]]) -> tuple[list[dict[str, float]], float]:
+    """One profile and its weight from (profile, weight) pairs, aligned one after the other."""
+    profile, total = parts[0]
+    for other, weight in parts[1:]:
+        profile = align(profile, other, total, weight)
         total += weight
+    return profile, total
+
+
+def value_profile(values: list[tuple[str, float]]) -> tuple[list[dict[str, float]], float]:
+    """The profile of ``values`` (text, weight), heaviest first, and its weight."""
+    ordered = sorted(values, key=lambda v: (-v[1], v[0]))
+    return merged_profile([([{t: w} for t in TOKEN.findall(v)], w) for v, w in ordered])
+
+
+def voted_tokens(profile: list[dict[str, float]]) -> list[str]:
     voted = [min(c.items(), key=lambda kv: (-kv[1], kv[0]))[0] for c in profile]
-    voted = [t for t in voted if t]
-    return min(zip(split, ordered), key=lambda p: (edit_distance(p[0], voted), -p[1][1], p[1][0]))[1][0]
+    return [t for t in voted if t]
 
 
-def consensus(df: DataFrame, group_key: Column, value: Column, weight: Column, most_distinct: int = 64) -> DataFrame:
+def consensus_value(values: list[tuple[str, float]]) -> str:
+    """The value of ``values`` (text, weight) whose tokens lie closest to the weighted consensus."""
+    voted = voted_tokens(value_profile(values)[0])
+    return min(values, key=lambda v: (edit_distance(TOKEN.findall(v[0]), voted), -v[1], v[0]))[0]
+
+
+def consensus(df: DataFrame, group_key: Column, value: Column, weight: Column, most_distinct: int = 64, fan_in: int = 8) -> DataFrame:
     """(grp_key, n_rows, n_values, survivor): the value closest to each group's token consensus.
 
     Placeholders and nulls don't vote; a group without any other value gives no
     row.  Equal values are summed before anything is gathered, so a group
-    costs its distinct values, not its rows.  Groups of more than
-    ``most_distinct`` distinct values are first reduced to the consensus of
-    their blocks of that many, level by level, with the blocks' full weights:
-    every value votes and no task ever holds more than a block.
+    costs its distinct values, not its rows.  A group of more than
+    ``most_distinct`` distinct values, and only such a group, is voted on in
+    blocks of about that many: each block gives its full column profile, the
+    profiles are merged ``fan_in`` at a time, and every distinct value is then
+    held against the consensus of them all.  No token and no value is dropped
+    on the way; a task holds a block of values or the profiles it merges.
     """
     votes = df.select(group_key.alias("grp_key"), value.alias("value"), weight.cast("double").alias("w"))
     votes = votes.where(~is_placeholder(F.col("value")) & F.col("grp_key").isNotNull())
     safe = F.when(F.col("w").isNull() | F.isnan("w") | (F.col("w") <= 0) | (F.col("w") > 1), F.lit(0.05)).otherwise(F.col("w"))
-    values = votes.groupBy("grp_key", "value").agg(F.sum(safe).alias("w"), F.count("*").alias("n"))
+    values = Scratch(df.sparkSession, "consensus").write(votes.groupBy("grp_key", "value").agg(F.sum(safe).alias("w"), F.count("*").alias("n")), "values")
     sizes = values.groupBy("grp_key").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_values"))
 
     @F.pandas_udf("string")
     def vote(texts: pd.Series, weights: pd.Series) -> pd.Series:
         return pd.Series([consensus_value(list(zip(map(str, t), map(float, w)))) for t, w in zip(texts, weights)], dtype=object)
 
-    # Levels follow from the largest group; one value per block goes up, so groups shrink 64-fold a level.
-    largest = values.groupBy("grp_key").count().agg(F.max("count")).first()[0] or 0
-    level = values.select("grp_key", "value", "w")
-    while largest > most_distinct:
-        blocks = -(-largest // most_distinct)
-        level = level.withColumn("block", F.pmod(F.xxhash64("value"), F.lit(blocks)))
-        level = level.groupBy("grp_key", "block").agg(F.collect_list("value").alias("texts"), F.collect_list("w").alias("ws"), F.sum("w").alias("w"))
-        level = level.select("grp_key", vote("texts", "ws").alias("value"), "w").groupBy("grp_key", "value").agg(F.sum("w").alias("w"))
-        largest = blocks if blocks < largest else 1
-    gathered = level.groupBy("grp_key").agg(F.collect_list("value").alias("texts"), F.collect_list("w").alias("ws"))
+    @F.pandas_udf("string")
+    def block_profile(texts: pd.Series, weights: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(value_profile(list(zip(map(str, t), map(float, w))))) for t, w in zip(texts, weights)], dtype=object)
+
+    @F.pandas_udf("string")
+    def join_profiles(parts: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(merged_profile([json.loads(x) for x in p])) for p in parts], dtype=object)
+
+    @F.pandas_udf("string")
+    def wording(profiles: pd.Series) -> pd.Series:
+        return profiles.map(lambda p: json.dumps(voted_tokens(json.loads(p)[0])))
+
+    @F.pandas_udf("long")
+    def distance(texts: pd.Series, voted: pd.Series) -> pd.Series:
+        return pd.Series([edit_distance(TOKEN.findall(t), json.loads(v)) for t, v in zip(texts, voted)], dtype="int64")
+
+    largest = sizes.agg(F.max("n_values")).first()[0] or 0
+    over = sizes.where(F.col("n_values") > most_distinct).select("grp_key", F.ceil(F.col("n_values") / most_distinct).alias("blocks"))
+    level = values.join(over, "grp_key", "left") if largest > most_distinct else values.withColumn("blocks", F.lit(None).cast("bigint"))
+    gathered = level.where("blocks IS NULL").groupBy("grp_key").agg(F.collect_list("value").alias("texts"), F.collect_list("w").alias("ws"))
     single = F.when(F.size("texts") == 1, F.element_at("texts", 1)).otherwise(vote("texts", "ws"))
-    return gathered.select("grp_key", single.alias("survivor")).join(sizes, "grp_key").select("grp_key", "n_rows", "n_values", "survivor")
+    survivors = gathered.select("grp_key", single.alias("survivor"))
+    if largest > most_distinct:
+        blocked = level.where("blocks IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("value"), F.col("blocks")))
+        profiles = blocked.groupBy("grp_key", "block").agg(F.collect_list("value").alias("texts"), F.collect_list("w").alias("ws")).select("grp_key", "block", block_profile("texts", "ws").alias("profile"))
+        most = -(-largest // most_distinct)
+        while most > 1:
+            merged = profiles.groupBy("grp_key", F.floor(F.col("block") / fan_in).alias("block")).agg(F.sort_array(F.collect_list(F.struct("block", "profile"))).alias("parts"))
+            profiles = merged.select("grp_key", "block", join_profiles("parts.profile").alias("profile"))
+            most = -(-most // fan_in)
+        # One copy of the consensus for each block, so that a hot group's values stay spread over the tasks.
+        voted = profiles.select("grp_key", wording("profile").alias("voted")).join(over, "grp_key").select("grp_key", "voted", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
+        near = blocked.join(voted, ["grp_key", "block"]).select("grp_key", "value", "w", distance("value", "voted").alias("d"))
+        survivors = survivors.unionByName(near.groupBy("grp_key").agg(F.min_by("value", F.struct("d", -F.col("w"), "value")).alias("survivor")))
+    return survivors.join(sizes, "grp_key").select("grp_key", "n_rows", "n_values", "survivor")

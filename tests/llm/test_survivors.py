@@ -56,3 +56,22 @@ def test_consensus_operator(spark):
     (row,) = consensus(many, F.col("k"), F.col("v"), F.col("c"), most_distinct=8).collect()
     assert row.n_values == 40 and row.survivor.startswith("value number")
     assert consensus(df.limit(0), F.col("k"), F.col("v"), F.col("c")).collect() == []
+
+
+def test_large_group_changes_no_other_and_keeps_its_nearest_value(spark):
+    small = {f"s{g}": [(f"red {a} jumps {b}", w) for a, b, w in [("fox", "high", 0.4), ("fox", "low", 0.3), ("cat", "low", 0.3), (f"dog{g}", "high", 0.2)]] for g in range(20)}
+    big = [(f"note {chr(97 + i // 26)}{chr(97 + i % 26)} on old maps", 0.5) for i in range(59)] + [("note on old maps", 0.05)]
+    rows = [(k, v, w) for k, values in {**small, "big": big}.items() for v, w in values]
+    df = spark.createDataFrame(rows, "k string, v string, c double")
+    got = {r.grp_key: r.survivor for r in consensus(df, F.col("k"), F.col("v"), F.col("c"), most_distinct=4).collect()}
+    assert {k: got[k] for k in small} == {k: consensus_value(v) for k, v in small.items()}
+    assert len(got) == 21 and got["big"] == consensus_value(big)
+
+
+def test_blocks_of_a_large_group_vote_with_all_their_tokens(spark):
+    # Each word position has its own majority; the one value that writes them all is the lightest of all.
+    words = "a b c d e f g h".split()
+    big = [(" ".join(f"x{i}" if k == i % 8 else w for k, w in enumerate(words)), 0.5) for i in range(64)] + [(" ".join(words), 0.01)]
+    df = spark.createDataFrame([("big", v, w) for v, w in big], "k string, v string, c double")
+    for most in (4, 16, 32):
+        assert consensus(df, F.col("k"), F.col("v"), F.col("c"), most_distinct=most).first().survivor == "a b c d e f g h"
