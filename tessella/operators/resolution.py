@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, StringType
 from pyspark.sql.window import Window
 
 from tessella.functions.coerce import fingerprint, safe_float, text
+from tessella.operators.graph import graph_edges, graph_nodes, node_id, with_endpoints
 from tessella.operators.matching import containing
 from tessella.runtime import Scratch, is_empty
 from tessella.vocabulary import NODE_TYPES, TYPE_ALIASES
@@ -53,6 +54,37 @@ def name_links(entities: DataFrame) -> DataFrame:
     return rows.join(heads, ["type", "print"]).where("raw_id <> a").select("a", F.col("raw_id").alias("b")).distinct()
 
 
+def _known(entities: DataFrame) -> DataFrame:
+    return entities.where("raw_id IS NOT NULL").select("raw_id").distinct()
+
+
+def accepted_links(entities: DataFrame, matches: DataFrame) -> DataFrame:
+    """(a, b): pairs of known records that a decision (verdict exactly ``same``) calls one entity."""
+    known = _known(entities)
+    same = matches.where("verdict = 'same' AND left_id <> right_id").select(F.least("left_id", "right_id").alias("a"), F.greatest("left_id", "right_id").alias("b")).distinct()
+    return same.join(known.withColumnRenamed("raw_id", "a"), "a", "left_semi").join(known.withColumnRenamed("raw_id", "b"), "b", "left_semi").select("a", "b")
+
+
+def equivalent_links(entities: DataFrame, nodes: DataFrame, edges: DataFrame, least: float = 0.9) -> DataFrame:
+    """(a, b): the known records behind the two nodes of an ``equivalent_to`` edge, tied to the least one as a star.
+
+    The edge's greatest sound confidence must reach ``least`` and its nodes be
+    of one type; a node without a known record links nothing.
+    """
+    sure = graph_edges(edges).where((F.col("type") == "equivalent_to") & (F.col("confidence") >= least) & (F.col("source") != F.col("target")))
+    pairs = with_endpoints(sure, graph_nodes(nodes)).where("source_type = target_type").select("source", "target")
+    members = nodes.select(node_id(F.col("id")).alias("id"), F.explode("original_entity_ids").alias("raw_id")).join(_known(entities), "raw_id", "left_semi").distinct()
+    ends = F.array(F.struct(F.lit(0).alias("side"), F.col("source").alias("id")), F.struct(F.lit(1).alias("side"), F.col("target").alias("id")))
+    each = pairs.select("source", "target", F.inline(ends)).join(members, "id")
+    heads = each.groupBy("source", "target").agg(F.min("raw_id").alias("a"), F.min("side").alias("low"), F.max("side").alias("high")).where("low < high")
+    return each.join(heads, ["source", "target"]).where("raw_id <> a").select("a", F.col("raw_id").alias("b")).distinct()
+
+
+def merge_links(entities: DataFrame, matches: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b): all that says two records are one entity: names, sure equivalence, accepted pairs."""
+    return name_links(entities).unionByName(equivalent_links(entities, nodes, edges)).unionByName(accepted_links(entities, matches)).distinct()
+
+
 def union_groups(links: DataFrame) -> DataFrame:
     """(vertex, root): the least vertex each one is linked to, over any number of links.
 
@@ -79,15 +111,20 @@ def union_groups(links: DataFrame) -> DataFrame:
 
 
 def merged_nodes(entities: DataFrame, groups: DataFrame) -> DataFrame:
-    """(root, name, type, members, confidence): each group's best name, commonest type and greatest confidence.
+    """(root, name, type, description, members, confidence): each group's best name, commonest type, longest description and greatest confidence.
 
-    The best name is that of the surest member, then the shortest, then the least.
+    The best name is that of the surest member, then the shortest, then the
+    least; ties of type and description fall to the least one.
     """
     sure = safe_float(F.col("confidence"), 0.0)
-    once = entities.groupBy("raw_id").agg(F.min_by(F.struct("name", "type", "confidence"), F.struct("ingested_at", "name")).alias("e")).select("raw_id", "e.*")
-    rows = once.join(groups.select(F.col("vertex").alias("raw_id"), "root"), "raw_id", "left").select(F.coalesce("root", "raw_id").alias("root"), "name", "type", sure.alias("confidence"))
-    order = F.struct(-F.col("confidence"), F.char_length("name"), F.col("name"))
-    return rows.groupBy("root").agg(F.min_by("name", F.when(F.col("name").isNotNull(), order)).alias("name"), F.min("type").alias("type"), F.count("*").alias("members"), F.max("confidence").alias("confidence"))
+    once = entities.groupBy("raw_id").agg(F.min_by(F.struct("name", "type", "description", "confidence"), F.struct("ingested_at", "name")).alias("e")).select("raw_id", "e.*")
+    rows = once.join(groups.select(F.col("vertex").alias("raw_id"), "root"), "raw_id", "left").select(F.coalesce("root", "raw_id").alias("root"), "name", "type", "description", sure.alias("confidence"))
+    named = F.when(F.col("name").isNotNull(), F.struct(-F.col("confidence"), F.char_length("name"), F.col("name")))
+    told = F.when(text(F.col("description")) != "", F.struct(-F.char_length("description"), F.col("description")))
+    kinds = rows.groupBy("root", "type").agg(F.min(named).alias("named"), F.min(told).alias("told"), F.count("*").alias("n"), F.max("confidence").alias("confidence"))
+    common = F.when(F.col("type").isNotNull(), F.struct(-F.col("n"), F.col("type")))
+    merged = kinds.groupBy("root").agg(F.min("named").alias("named"), F.min(common).alias("common"), F.min("told").alias("told"), F.sum("n").alias("members"), F.max("confidence").alias("confidence"))
+    return merged.select("root", "named.name", "common.type", "told.description", "members", "confidence")
 
 
 @F.pandas_udf(DoubleType())

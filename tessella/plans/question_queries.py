@@ -192,7 +192,51 @@ def g11_components(spark, folder):
 @query("a7_merged_nodes", f"WITH {PREP}, {_NAMES}, rt AS (SELECT b AS raw_id, min(a) AS root FROM ml GROUP BY b), x AS (SELECT coalesce(rt.root, pe.raw_id) AS root, pe.name, pe.type, CASE WHEN pe.confidence IS NULL OR isnan(pe.confidence) THEN 0.0 ELSE greatest(0.0, least(pe.confidence, 1.0)) END AS c FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY raw_id ORDER BY ingested_at NULLS FIRST, name NULLS FIRST) AS kk FROM prepared_entities) WHERE kk = 1) pe LEFT JOIN rt USING (raw_id)) SELECT root, first(name ORDER BY c DESC, length(name), name) FILTER (WHERE name IS NOT NULL) AS name, min(type) AS type, count(*) AS members, max(c) AS confidence FROM x GROUP BY root")
 def a7_merged_nodes(spark, folder):
     rows = table(spark, folder, "prepared_entities")
-    return r.merged_nodes(rows, r.union_groups(r.name_links(rows)))
+    return r.merged_nodes(rows, r.union_groups(r.name_links(rows))).select("root", "name", "type", "members", "confidence")
+
+
+def _merge_links(spark, folder):
+    return r.merge_links(*(table(spark, folder, name) for name in ("prepared_entities", "entity_matches", "standard_nodes", "standard_edges")))
+
+
+_LINKS = (
+    KG
+    + f""", {_NAMES}, kn AS (SELECT DISTINCT raw_id FROM prepared_entities WHERE raw_id IS NOT NULL),
+mb AS (SELECT DISTINCT lower(trim(id)) AS id, raw_id FROM (SELECT id, unnest(original_entity_ids) AS raw_id FROM standard_nodes) JOIN kn USING (raw_id)),
+eq AS (SELECT source, target FROM t WHERE type = 'equivalent_to' AND confidence >= 0.9 AND source_type = target_type AND source <> target),
+em AS (SELECT source, target, 0 AS side, raw_id FROM eq JOIN mb ON mb.id = source UNION ALL SELECT source, target, 1, raw_id FROM eq JOIN mb ON mb.id = target),
+eh AS (SELECT source, target, min(raw_id) AS a FROM em GROUP BY source, target HAVING min(side) < max(side)),
+lk AS (SELECT a, b FROM ml UNION SELECT a, raw_id FROM em JOIN eh USING (source, target) WHERE raw_id <> a
+  UNION SELECT least(left_id, right_id), greatest(left_id, right_id) FROM entity_matches WHERE verdict = 'same' AND left_id <> right_id AND left_id IN (SELECT raw_id FROM kn) AND right_id IN (SELECT raw_id FROM kn))
+"""
+)
+_GROUPS = _LINKS + ", ed AS (SELECT a, b FROM lk UNION SELECT b, a FROM lk), re AS (SELECT DISTINCT a AS x, a AS y FROM ed UNION SELECT re.x, ed.b FROM re JOIN ed ON re.y = ed.a), gr AS (SELECT x AS vertex, min(y) AS root FROM re GROUP BY x)\n"
+
+
+@query("g12_merge_links", _LINKS + "SELECT a, b FROM lk")
+def g12_merge_links(spark, folder):
+    """All merge links: g12_name_links, sure equivalence and accepted pairs."""
+    return _merge_links(spark, folder)
+
+
+@query("g11_merge_groups", _GROUPS + "SELECT vertex, root FROM gr")
+def g11_merge_groups(spark, folder):
+    """The groups of g12_merge_links, as g11_components are those of the names alone."""
+    return r.union_groups(_merge_links(spark, folder))
+
+
+@query(
+    "a7_resolved_nodes",
+    _GROUPS
+    + """, x AS (SELECT coalesce(gr.root, pe.raw_id) AS root, pe.name, pe.type, pe.description, CASE WHEN pe.confidence IS NULL OR isnan(pe.confidence) THEN 0.0 ELSE greatest(0.0, least(pe.confidence, 1.0)) END AS c
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY raw_id ORDER BY ingested_at NULLS FIRST, name NULLS FIRST) AS kk FROM prepared_entities) WHERE kk = 1) pe LEFT JOIN gr ON gr.vertex = pe.raw_id),
+tc AS (SELECT root, first(type ORDER BY n DESC, type) AS type FROM (SELECT root, type, count(*) AS n FROM x WHERE type IS NOT NULL GROUP BY root, type) GROUP BY root)
+SELECT x.root, first(name ORDER BY c DESC, length(name), name) FILTER (WHERE name IS NOT NULL) AS name, any_value(tc.type) AS type, """
+    + f"first(description ORDER BY length(description) DESC, description) FILTER (WHERE {_t('description')} <> '') AS description, count(*) AS members, max(c) AS confidence FROM x LEFT JOIN tc ON tc.root = x.root GROUP BY x.root",
+)
+def a7_resolved_nodes(spark, folder):
+    """One node of every group of g11_merge_groups and of every record without a link."""
+    return r.merged_nodes(table(spark, folder, "prepared_entities"), r.union_groups(_merge_links(spark, folder)))
 
 
 @query("c4_names")
