@@ -45,6 +45,17 @@ def node_aliases(rows: DataFrame) -> DataFrame:
     return rows.select(node_id(F.col("id")).alias("id"), F.explode(distinct_texts(F.col("aliases"))).alias("alias")).where("id <> ''").distinct()
 
 
+def union_rows(rows: DataFrame, keys: dict[str, Column], column: str, name: str) -> DataFrame:
+    """(keys, name): every distinct non-blank member of a list column of each group, stripped; rows, so that no group gathers them all."""
+    return rows.select(*(k.alias(n) for n, k in keys.items()), F.explode(distinct_texts(F.col(column))).alias(name)).distinct()
+
+
+def source_rows(rows: DataFrame, keys: dict[str, Column], column: str = "sources") -> DataFrame:
+    """(keys, chunk_id, source_file, page): every distinct source of each group, key-less ones included."""
+    each = rows.select(*(k.alias(n) for n, k in keys.items()), F.explode(column).alias("_s")).where("_s IS NOT NULL")
+    return each.select(*keys, "_s.chunk_id", "_s.source_file", "_s.page").distinct()
+
+
 def graph_edges(rows: DataFrame) -> DataFrame:
     """One edge per (source, type, target): smallest id, greatest sound confidence, longest evidence."""
     keyed = rows.select("row_id", "id", node_id(F.col("source")).alias("source"), "type", node_id(F.col("target")).alias("target"), "confidence", "evidence").where("source <> '' AND target <> ''")

@@ -127,6 +127,18 @@ def merged_nodes(entities: DataFrame, groups: DataFrame) -> DataFrame:
     return merged.select("root", "named.name", "common.type", "told.description", "members", "confidence")
 
 
+def rooted(entities: DataFrame, groups: DataFrame) -> DataFrame:
+    """The entities' rows with the root of their group, or their own id, as ``root``."""
+    return entities.join(groups.select(F.col("vertex").alias("raw_id"), "root"), "raw_id", "left").withColumn("root", F.coalesce("root", "raw_id")).where("root IS NOT NULL")
+
+
+def merged_aliases(entities: DataFrame, groups: DataFrame) -> DataFrame:
+    """(root, alias): every name and original name in a group whose normal spelling isn't that of the merged node."""
+    each = rooted(entities, groups).select("root", F.explode(F.array("original_name", "name")).alias("alias")).where("alias <> ''").distinct()
+    shown = merged_nodes(entities, groups).select("root", "name")
+    return each.join(shown, "root").where(~normal_name(F.col("alias")).eqNullSafe(normal_name(F.col("name")))).select("root", "alias")
+
+
 @F.pandas_udf(DoubleType())
 def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """The share of characters in common blocks, by longest blocks first."""

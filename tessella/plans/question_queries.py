@@ -239,6 +239,59 @@ def a7_resolved_nodes(spark, folder):
     return r.merged_nodes(table(spark, folder, "prepared_entities"), r.union_groups(_merge_links(spark, folder)))
 
 
+def _rooted(spark, folder):
+    return r.rooted(table(spark, folder, "prepared_entities"), r.union_groups(_merge_links(spark, folder)))
+
+
+_ROOTED = _GROUPS + ", rd AS (SELECT coalesce(gr.root, pe.raw_id) AS root, pe.* FROM prepared_entities pe LEFT JOIN gr ON gr.vertex = pe.raw_id WHERE pe.raw_id IS NOT NULL)\n"
+
+
+@query("a7_node_members", _ROOTED + "SELECT DISTINCT root, raw_id FROM rd")
+def a7_node_members(spark, folder):
+    """The original ids of every node of a7_resolved_nodes."""
+    return _rooted(spark, folder).select("root", "raw_id").distinct()
+
+
+@query("a7_node_chunks", _ROOTED + f"SELECT DISTINCT root, chunk_id FROM (SELECT root, {_t('c')} AS chunk_id FROM (SELECT root, unnest(source_chunk_ids) AS c FROM rd)) WHERE chunk_id <> ''")
+def a7_node_chunks(spark, folder):
+    return g.union_rows(_rooted(spark, folder), {"root": F.col("root")}, "source_chunk_ids", "chunk_id")
+
+
+@query("a7_node_sources", _ROOTED + "SELECT DISTINCT root, s.chunk_id, s.source_file, s.page FROM (SELECT root, unnest(sources) AS s FROM rd) WHERE s IS NOT NULL")
+def a7_node_sources(spark, folder):
+    return g.source_rows(_rooted(spark, folder), {"root": F.col("root")})
+
+
+@query("a7_node_aliases")
+def a7_node_aliases(spark, folder):
+    """The other spellings of every node of a7_resolved_nodes."""
+    return r.merged_aliases(table(spark, folder, "prepared_entities"), r.union_groups(_merge_links(spark, folder)))
+
+
+def _unions(name: str, source: str, keys: dict, lists: dict[str, tuple[str, str]]) -> None:
+    """Registers a query and its SQL for the sources, and for each list column, of the groups of a table; keys: name to whether it is a node id, lists: name to column and name of the member."""
+    columns = lambda: {k: g.node_id(F.col(k)) if is_id else F.col(k) for k, is_id in keys.items()}
+    bare = ", ".join(f"lower(trim({k})) AS {k}" if is_id else k for k, is_id in keys.items())
+    some = " AND ".join("name IS NOT NULL" if k == "name" else f"{k} <> ''" for k in keys if k != "type")
+
+    def put(query_name, sql, operator):
+        def run(spark, folder):
+            return operator(table(spark, folder, source)).where(some)
+
+        query(query_name, sql)(run)
+
+    put(f"{name}_sources", f"SELECT DISTINCT {', '.join(keys)}, s.chunk_id, s.source_file, s.page FROM (SELECT {bare}, unnest(sources) AS s FROM {source}) WHERE s IS NOT NULL AND {some}", lambda rows: g.source_rows(rows, columns()))
+    for suffix, (column, member) in lists.items():
+        sql = f"SELECT DISTINCT * FROM (SELECT {', '.join(keys)}, {_t('m')} AS {member} FROM (SELECT {bare}, unnest({column}) AS m FROM {source})) WHERE {member} <> '' AND {some}"
+        put(f"{name}_{suffix}", sql, lambda rows, column=column, member=member: g.union_rows(rows, columns(), column, member))
+
+
+# What a4_entity_merge counts, and what the merged nodes and edges of the graph come from.
+_unions("a4_entity", "entities", {"type": False, "name": False}, {"chunks": ("source_chunk_ids", "chunk_id")})
+_unions("s12_node", "standard_nodes", {"id": True}, {"chunks": ("source_chunk_ids", "chunk_id"), "originals": ("original_entity_ids", "raw_id")})
+_unions("a5_edge", "standard_edges", {"source": True, "type": False, "target": True}, {"chunks": ("source_chunks", "chunk_id"), "originals": ("original_relation_ids", "relation_id")})
+
+
 @query("c4_names")
 def c4_names(spark, folder):
     """The normal spelling of every entity's original name."""

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tessella.operators import graph as g
 from tessella.operators import resolution as r
 
 SRC = "struct<chunk_id:string,source_file:string,page:int>"
@@ -31,3 +32,16 @@ def test_merged_node_takes_commonest_type_and_longest_description(spark):
     late = entities(spark).replace({"T": "V"}, subset=["type"])  # the commonest type is no longer the least
     got = {x.root: tuple(x)[1:] for x in r.merged_nodes(late, r.union_groups(links(spark))).collect()}
     assert got == {"e1": ("Heap", "V", "the longest", 4, 0.9), "e5": ("Stack", "V", None, 2, 0.7), "e7": ("Queue", "V", None, 1, 0.6)}
+
+
+def test_merging_keeps_chunks_sources_aliases_and_ids(spark):
+    rows = [("e1", "Heap", "Heap。", ["c1", " c2", ""], [("c1", "f", 1), (None, "f", None)]), ("e2", "heap.", "heap.", ["c2", None], [("c1", "f", 1), None]), ("e3", "Pile", None, None, None)]
+    df = spark.createDataFrame(rows, f"raw_id string, name string, original_name string, source_chunk_ids array<string>, sources array<{SRC}>")
+    df = df.withColumns({"type": F.lit("T"), "description": F.lit("d"), "confidence": F.when(F.col("raw_id") == "e1", 0.9).otherwise(0.5), "ingested_at": F.lit(None).cast("timestamp")})
+    groups = spark.createDataFrame([("e1", "e1"), ("e2", "e1")], "vertex string, root string")
+    found = r.rooted(df, groups)
+    of = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert of(found.select("root", "raw_id")) == [("e1", "e1"), ("e1", "e2"), ("e3", "e3")]
+    assert of(g.union_rows(found, {"root": F.col("root")}, "source_chunk_ids", "chunk_id")) == [("e1", "c1"), ("e1", "c2")]
+    assert of(g.source_rows(found, {"root": F.col("root")})) == [("e1", "c1", "f", 1), ("e1", None, "f", None)]
+    assert of(r.merged_aliases(df, groups)) == [("e1", "heap.")]
