@@ -97,7 +97,7 @@ def g13_repaired(spark, folder):
     """Edges turned where their direction contradicts their types; points stand for concepts."""
     nodes, edges = _graph(spark, folder)
     as_concept = lambda c: F.when(F.col(c).isin("KnowledgePoint"), "OOPConcept").otherwise(F.col(c)).alias(f"{c[:6].replace('source', 'head').replace('target', 'tail')}_type")
-    rows = g.with_endpoints(edges, nodes).where("NOT (type = 'expresses_concept' OR type = 'has_code_structure')")
+    rows = g.with_endpoints(edges, nodes)
     relations = rows.select(F.col("source").alias("head"), as_concept("source_type"), F.col("type").alias("relation"), F.col("target").alias("tail"), as_concept("target_type"))
     return x.repaired(relations).select("head", "relation", "tail")
 

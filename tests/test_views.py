@@ -33,3 +33,14 @@ def test_blocks_and_json(spark):
     assert [tuple(r) for r in views.question_blocks(df, "k", "t").orderBy("block_no").collect()] == [("k", 1, "1. one\nmore"), ("k", 2, "（2）two")]
     texts = spark.createDataFrame([('```json\n{"a": 1}\n```',), ('say {"b": [2]} end',), ("{bad",), (None,), ("",)], "t string")
     assert [r.j for r in texts.select(views.json_object(F.col("t")).alias("j")).collect()] == ['{"a": 1}', '{"b": [2]}', None, None, None]
+
+
+def test_repaired_keeps_edges_of_every_type(spark, tmp_path):
+    from tessella.plans.view_queries import g13_repaired
+
+    nodes = [(i, i, "n", "KnowledgePoint", None, 0.9) for i in ("a", "b")]
+    spark.createDataFrame([(k, *n[1:]) for k, n in enumerate(nodes)], "row_id bigint, id string, name string, type string, description string, confidence double").write.parquet(f"{tmp_path}/standard_nodes.parquet")
+    kinds = ["has_code_structure", "expresses_concept", None, "may_cause"]
+    spark.createDataFrame([(k, f"e{k}", "a", "b", t, 0.9, None) for k, t in enumerate(kinds)], "row_id bigint, id string, source string, target string, type string, confidence double, evidence string").write.parquet(f"{tmp_path}/standard_edges.parquet")
+    got = sorted(map(tuple, g13_repaired(spark, str(tmp_path)).collect()), key=str)
+    assert got == [("a", "may_cause", "b"), ("a", "part_of", "b"), ("a", None, "b"), ("b", "part_of", "a")]
