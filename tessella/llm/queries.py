@@ -12,7 +12,7 @@ from tessella.llm.mixing import mixture
 from tessella.llm.nearcopies import near_groups, near_items, near_pairs
 from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
 from tessella.llm.splitting import split_texts
-from tessella.llm.survivors import FieldRule, consensus, is_placeholder, known_sources, recency_rank, rule_survivors, trust_rank
+from tessella.llm.survivors import FieldRule, consensus, elect, is_placeholder, known_sources, source_list, trust_rank
 from tessella.runtime import Scratch, table
 
 # ------------------------------------------------------------------ problem 1
@@ -87,20 +87,23 @@ def node_key():
 
 
 def edge_key():
-    return F.concat(F.col("source"), F.lit("|"), F.col("target"), F.lit("|"), F.col("type"))
+    return F.concat(F.col("source"), F.lit("|"), F.col("type"), F.lit("|"), F.col("target"))
 
 
 def p4_found(spark, folder):
-    """Whose value of each field survives in each group of nodes and edges.
+    """Whose value of each field survives in each group of nodes and edges: consensus with weights from ranks.
 
-    By declared ranks, not by consensus: trust, recency and completeness decide here.
+    The fields are those of the problem: name, confidence and sources of
+    nodes, evidence of edges.
     """
+    known = known_sources(F.col("sources"))
     sound = (F.col("confidence") > 0) & (F.col("confidence") <= 1)
-    shared = [FieldRule("confidence", sound), FieldRule("sources", known_sources(F.col("sources")) > 0, (-known_sources(F.col("sources")),))]
-    name = FieldRule("name", ~is_placeholder(F.col("name")), (trust_rank(F.col("origin")),))
-    evidence = FieldRule("evidence", ~is_placeholder(F.col("evidence")), (-F.char_length(F.trim("evidence")),))
-    nodes = rule_survivors(_node_rows(spark, folder), node_key(), "row_id", "updated_at", [name, *shared])
-    edges = rule_survivors(_edge_rows(spark, folder), edge_key(), "row_id", "updated_at", [*shared, evidence])
+    name = FieldRule("name", F.col("name"), ~is_placeholder(F.col("name")), (trust_rank(F.col("origin")),))
+    confidence = FieldRule("confidence", F.col("confidence").cast("string"), sound)
+    sources = FieldRule("sources", source_list(F.col("sources")), known > 0, (-known,))
+    evidence = FieldRule("evidence", F.col("evidence"), ~is_placeholder(F.col("evidence")), (-F.char_length(F.trim("evidence")),))
+    nodes = elect(_node_rows(spark, folder), node_key(), "row_id", "updated_at", [name, confidence, sources])
+    edges = elect(_edge_rows(spark, folder), edge_key(), "row_id", "updated_at", [evidence])
     kind = lambda df, k: df.select(F.lit(k).alias("grp_kind"), "grp_key", "field_name", "row_id")
     return kind(nodes, "node").unionByName(kind(edges, "edge"))
 
@@ -122,7 +125,7 @@ def _p4_field(rows: str, kind: str, field: str, qualifies: str, rank: str) -> st
 
 
 _NODES = "(SELECT *, lower(trim(id)) AS k, count(DISTINCT row_id) OVER (PARTITION BY lower(trim(id))) > 1 AS big FROM standard_nodes WHERE id IS NOT NULL)"
-_EDGES = "(SELECT *, source || '|' || target || '|' || type AS k, count(DISTINCT row_id) OVER (PARTITION BY source || '|' || target || '|' || type) > 1 AS big FROM standard_edges WHERE source IS NOT NULL AND target IS NOT NULL AND type IS NOT NULL)"
+_EDGES = "(SELECT *, source || '|' || type || '|' || target AS k, count(DISTINCT row_id) OVER (PARTITION BY source || '|' || type || '|' || target) > 1 AS big FROM standard_edges WHERE source IS NOT NULL AND target IS NOT NULL AND type IS NOT NULL)"
 _ORIGIN = "CASE origin WHEN 'curated' THEN 0 WHEN 'rule' THEN 1 WHEN 'llm' THEN 2 WHEN 'inferred' THEN 3 ELSE 4 END,"
 _SOUND = "confidence > 0 AND confidence <= 1 AND NOT isnan(confidence)"
 P4_SQL = "\nUNION ALL\n".join(
@@ -130,8 +133,6 @@ P4_SQL = "\nUNION ALL\n".join(
         _p4_field(_NODES, "node", "name", "NOT " + _PLACEHOLDER.format("name"), _ORIGIN),
         _p4_field(_NODES, "node", "confidence", _SOUND, ""),
         _p4_field(_NODES, "node", "sources", f"{_KNOWN} > 0", f"{_KNOWN} DESC,"),
-        _p4_field(_EDGES, "edge", "confidence", _SOUND, ""),
-        _p4_field(_EDGES, "edge", "sources", f"{_KNOWN} > 0", f"{_KNOWN} DESC,"),
         _p4_field(_EDGES, "edge", "evidence", "NOT " + _PLACEHOLDER.format("evidence"), "length(trim(evidence)) DESC,"),
     ]
 )

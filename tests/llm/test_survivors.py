@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tessella.llm.survivors import FieldRule, consensus, consensus_value, is_placeholder, known_sources, rule_survivors, trust_rank
+from tessella.llm.survivors import FieldRule, consensus, consensus_value, elect, is_placeholder, known_sources, source_list, tokens_of, trust_rank
 
 SCHEMA = "row_id bigint, id string, name string, confidence double, origin string, updated_at timestamp, grp_key string, low int"
 
@@ -12,9 +12,9 @@ def rows(spark, *data):
     return spark.createDataFrame([(r, i, n, c, o, fix(t), "clash", 0) for r, i, n, c, o, t in data], SCHEMA)
 
 
-def survivors(df):
-    rules = [FieldRule("name", ~is_placeholder(F.col("name")), (trust_rank(F.col("origin")),)), FieldRule("confidence", (F.col("confidence") > 0) & (F.col("confidence") <= 1))]
-    return {(r.grp_key, r.field_name): r.row_id for r in rule_survivors(df, F.lower(F.trim("id")), "row_id", "updated_at", rules).collect()}
+def survivors(df, **k):
+    rules = [FieldRule("name", F.col("name"), ~is_placeholder(F.col("name")), (trust_rank(F.col("origin")),)), FieldRule("confidence", F.col("confidence").cast("string"), (F.col("confidence") > 0) & (F.col("confidence") <= 1))]
+    return {(r.grp_key, r.field_name): r.row_id for r in elect(df, F.lower(F.trim("id")), "row_id", "updated_at", rules, **k).collect()}
 
 
 def test_rules_ties_and_placeholders(spark):
@@ -35,6 +35,31 @@ def test_rules_ties_and_placeholders(spark):
     assert survivors(df.limit(0)) == {}
 
 
+def test_election_gives_the_best_ranked_row_of_every_group(spark):
+    import random
+
+    rnd = random.Random(5)
+    names = ["index tree", "index  tree", "Index tree of keys", "B-tree", "索引树", "索引 树", "n/a", None]
+    data = [(i, f"g{rnd.randrange(30)}" if i % 3 else "hot", rnd.choice(names) if i % 3 else f"name {rnd.randrange(90)} x", rnd.choice([None, 0.3, 0.9, 2.0]), rnd.choice(["curated", "rule", None]), rnd.choice([None, 1, 5, 9])) for i in range(400)]
+    origin = {"curated": 0, "rule": 1, None: 4}
+    want = {}
+    for r, i, n, c, o, t in data:
+        late = -(t or 0)
+        for field, ok, rank in (("name", n not in (None, "n/a"), (origin[o], late, r)), ("confidence", c in (0.3, 0.9), (late, r))):
+            if ok:
+                want[i, field] = min(want.get((i, field), (rank,)), (rank,))
+    want = {k: v[0][-1] for k, v in want.items()}
+    df = rows(spark, *data)
+    assert survivors(df) == want
+    assert survivors(df, most_distinct=8, fan_in=2) == want
+
+
+def test_sources_are_voted_on_member_by_member(spark):
+    kind = "array<struct<chunk_id:string,source_file:string,page:int>>"
+    df = spark.createDataFrame([([("c", "f", 1), ("a", "f", 2), ("c", "f", 1), (None, "f", 2)],)], f"s {kind}")
+    assert len(tokens_of(df.select(source_list(F.col("s"))).first()[0])) == 2
+
+
 def test_known_sources(spark):
     kind = "array<struct<chunk_id:string,source_file:string,page:int>>"
     df = spark.createDataFrame([([("c", "f", 1), ("c", "f", 1), (None, "f", 2), ("c", "f", None)],), ([],), (None,)], f"s {kind}")
