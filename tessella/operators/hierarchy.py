@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import strip_blanks
-from tessella.runtime import Scratch
+from tessella.runtime import Scratch, is_empty
 
 LEVEL = "id string, parent string, seg array<string>, loop string"
 #: exit: topmost ancestor in the fragment; up: ids above the node up to the exit.
@@ -43,7 +43,11 @@ def current_links(df: DataFrame, id: str, parent: str, updated_at: str, tie: str
 
 
 def contract(rows: dict[str, tuple[str | None, list[str], str | None]]) -> Iterator[tuple]:
-    """Fragment rows of one partition: id -> (parent, ids between, known loop above)."""
+    """Fragment rows of one partition: id -> (parent, ids between, known loop above).
+
+    The state of a node holds no path; its way up is walked when its row is
+    given out, so memory is linear in the nodes however deep they lie.
+    """
     state: dict[str, tuple] = {}
     for start in rows:
         chain, here, at = [], start, {}
@@ -56,27 +60,31 @@ def contract(rows: dict[str, tuple[str | None, list[str], str | None]]) -> Itera
         if here is not None and here in at:
             # The chain closed on itself: everything from there on is the loop.
             ring = chain[at[here] :]
-            members = [m for n in ring for m in (n, *rows[n][1])]
-            least = min(members)
+            least = min(m for n in ring for m in (n, *rows[n][1]))
             for n in ring:
-                state[n] = ("cycle", None, None, None, (), least, "on", rows[n][1])
+                state[n] = ("cycle", None, None, None, least, "on", rows[n][1])
             chain = chain[: at[here]]
         for n in reversed(chain):
             parent, seg, loop = rows[n]
             if loop is not None:
-                state[n] = ("cycle", None, None, None, (), loop, "below", ())
+                state[n] = ("cycle", None, None, None, loop, "below", ())
             elif parent is None:
-                state[n] = ("root", n, None, (), (), None, None, ())
+                state[n] = ("root", n, None, (), None, None, ())
             elif parent not in rows:
-                state[n] = ("open", n, parent, seg, (), None, None, ())
+                state[n] = ("open", n, parent, seg, None, None, ())
+            elif state[parent][0] == "cycle":
+                state[n] = ("cycle", None, None, None, state[parent][4], "below", ())
             else:
-                above = state[parent]
-                if above[0] == "cycle":
-                    state[n] = ("cycle", None, None, None, (), above[5], "below", ())
-                else:
-                    state[n] = (above[0], above[1], above[2], above[3], (*seg, parent, *above[4]), None, None, ())
+                state[n] = state[parent]
     for n in rows:
-        yield (n, *state[n])
+        kind, exit, exit_parent, exit_seg, *rest = state[n]
+        up, here = [], n
+        while exit is not None and here != exit:
+            parent, seg, _ = rows[here]
+            up += seg
+            up.append(parent)
+            here = parent
+        yield (n, kind, exit, exit_parent, exit_seg, up, *rest)
 
 
 def contract_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,6 +201,195 @@ def resolve_hierarchy(df: DataFrame, id: str = "id", parent: str = "parent_id",
     )
 
 
+#: gap: links from id up to parent; low: smallest id from id (inclusive) to parent (exclusive).
+LIGHT_LEVEL = "id string, parent string, gap bigint, low string, loop string"
+#: hops: links from the node up to its exit; lowest: smallest id from the node to the exit, the exit not counted.
+LIGHT_FRAGMENT = "id string, parent string, gap bigint, low string, kind string, exit string, hops bigint, lowest string, cycle_id string, place string"
+
+
+def contract_light(rows: dict[str, tuple[str | None, int, str, str | None]]) -> Iterator[tuple]:
+    """Fragment rows of one partition without paths: id -> (parent, gap, low, known loop above)."""
+    state: dict[str, tuple] = {}
+    for start in rows:
+        chain, here, at = [], start, {}
+        while here is not None and here not in state and here in rows and here not in at:
+            at[here] = len(chain)
+            chain.append(here)
+            here = rows[here][0]
+        if here is not None and here in at:
+            ring = chain[at[here] :]
+            least = min(rows[n][2] for n in ring)
+            for n in ring:
+                state[n] = ("cycle", None, 0, None, least, "on")
+            chain = chain[: at[here]]
+        for n in reversed(chain):
+            parent, gap, low, loop = rows[n]
+            if loop is not None:
+                state[n] = ("cycle", None, 0, None, loop, "below")
+            elif parent is None or parent not in rows:
+                state[n] = ("root" if parent is None else "open", n, 0, None, None, None)
+            else:
+                kind, exit, hops, lowest, cycle, _ = state[parent]
+                state[n] = ("cycle", None, 0, None, cycle, "below") if kind == "cycle" else (kind, exit, hops + gap, low if lowest is None else min(low, lowest), None, None)
+    for n in rows:
+        yield (n, *rows[n][:3], *state[n])
+
+
+def _records(rows, schema: pa.Schema, most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    buffer: list[tuple] = []
+    for row in rows:
+        buffer.append(row)
+        if len(buffer) >= most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*buffer), schema.types)], schema=schema)
+            buffer = []
+    if buffer:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*buffer), schema.types)], schema=schema)
+
+
+def _contract_light_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = {i: rest for b in batches for i, *rest in zip(*(c.to_pylist() for c in b.columns))}
+    text, number = pa.string(), pa.int64()
+    yield from _records(contract_light(rows), pa.schema(list(zip(["id", "parent", "gap", "low", "kind", "exit", "hops", "lowest", "cycle_id", "place"], [text, text, number, text, text, text, number, text, text, text]))))
+
+
+def _mark_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (id, parent, entry) the ids on the way up from an entry."""
+    parent, entries = {}, []
+    for b in batches:
+        for i, p, entry in zip(*(c.to_pylist() for c in b.columns)):
+            parent[i] = p
+            if entry:
+                entries.append(i)
+    marked = set()
+    for here in entries:
+        while here in parent and here not in marked:
+            marked.add(here)
+            here = parent[here]
+    yield from _records(((i,) for i in marked), pa.schema([("id", pa.string())]))
+
+
+def toss_light(level: DataFrame, salt: int) -> DataFrame:
+    """The coin-toss contraction of a level without paths."""
+    heads = lambda c: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(2)) == 0
+    own_loop = F.col("id") == F.col("parent")
+    cycle = F.col("loop").isNotNull() | F.coalesce(own_loop, F.lit(False))
+    hangs = F.col("parent").isNotNull() & ~cycle & ~heads(F.col("id")) & heads(F.col("parent"))
+    return level.select(
+        "id",
+        "parent",
+        "gap",
+        "low",
+        F.when(cycle, "cycle").when(hangs, "hung").when(F.col("parent").isNull(), "root").otherwise("open").alias("kind"),
+        F.when(hangs, F.col("parent")).otherwise(F.col("id")).alias("exit"),
+        F.when(hangs, F.col("gap")).otherwise(F.lit(0).cast("bigint")).alias("hops"),
+        F.when(hangs, F.col("low")).alias("lowest"),
+        F.when(F.col("loop").isNotNull(), F.col("loop")).when(cycle, F.col("low")).alias("cycle_id"),
+        F.when(F.col("loop").isNotNull(), "below").when(cycle, "on").alias("place"),
+    )
+
+
+def solve_light(level: DataFrame, scratch: Scratch, rows_per_task: int, depth: int = 0, tossed: bool = False) -> DataFrame:
+    """(id, root, depth, cycle_id, place) of every row of a level."""
+    total = level.count()
+    tasks = max(1, -(-total // rows_per_task))
+    tossed = tossed and tasks > 1
+    if tossed:
+        fragments = toss_light(level, depth)
+    else:
+        laid = level.coalesce(1) if tasks == 1 else level.repartitionByRange(tasks, "id")
+        fragments = laid.mapInArrow(_contract_light_partition, LIGHT_FRAGMENT)
+    answers = lambda df: df.select("id", F.when(F.col("kind") == "root", F.col("exit")).alias("root"), F.when(F.col("kind") == "root", F.col("hops")).alias("depth"), "cycle_id", "place")
+    if tasks == 1:
+        return answers(fragments)
+    fragments = scratch.write(fragments, f"light{depth}")
+    waiting = fragments.where("kind IN ('open', 'hung')")
+    exits = waiting.where("id = exit").select("id", F.col("parent").alias("p"), "gap", "low")
+    holds = fragments.select(F.col("id").alias("p"), F.col("kind").alias("k"), F.col("exit").alias("e"), F.col("hops").alias("h"), F.col("lowest").alias("l"), F.col("cycle_id").alias("c"))
+    free = F.col("k") != "cycle"
+    linked = exits.join(holds, "p").select("id", F.when(free, F.col("e")).alias("parent"), (F.col("gap") + F.col("h")).alias("gap"), F.least("low", "l").alias("low"), F.col("c").alias("loop"))
+    linked = scratch.write(linked, f"lightlinks{depth}")
+    # Exits that nothing links further up: roots, and in a toss single nodes on or below a loop.
+    ends = linked.where("parent IS NOT NULL").select(F.col("parent").alias("id")).unionByName(waiting.select(F.col("exit").alias("id"))).distinct().join(exits.select("id"), "id", "left_anti")
+    tops = ends.join(fragments.select("id", "cycle_id"), "id").select("id", F.lit(None).cast("string").alias("parent"), F.lit(0).cast("bigint").alias("gap"), F.col("id").alias("low"), F.col("cycle_id").alias("loop"))
+    quotient = scratch.write(linked.unionByName(tops), f"lightquotient{depth}")
+    slow = quotient.count() > 0.7 * total
+    solved = scratch.write(solve_light(quotient, scratch, rows_per_task, depth + 1, slow), f"lightsolved{depth}")
+    above = solved.select(F.col("id").alias("exit"), "root", F.col("depth").alias("d"), "cycle_id", "place")
+    expanded = waiting.select("id", "exit", "hops").join(above, "exit").select("id", "root", (F.col("d") + F.col("hops")).alias("depth"), "cycle_id", F.when(F.col("id") == F.col("exit"), F.col("place")).when(F.col("cycle_id").isNotNull(), "below").alias("place"))
+    ring = solved.where("place = 'on'").select("id")
+    if not is_empty(ring):
+        # The loop enters a fragment at the parents of the exits on it and leaves by the fragment's exit.
+        entries = exits.join(ring, "id", "left_semi").select(F.col("p").alias("id"), F.lit(True).alias("entry")).distinct()
+        if tossed:
+            on = entries.select("id")
+        else:
+            touched = waiting.join(ring.withColumnRenamed("id", "exit"), "exit", "left_semi").join(entries, "id", "left")
+            on = touched.repartition("exit").select("id", F.when(F.col("id") != F.col("exit"), F.col("parent")).alias("parent"), F.coalesce("entry", F.lit(False)).alias("entry")).mapInArrow(_mark_partition, "id string")
+        expanded = expanded.join(on.withColumn("closes", F.lit(True)), "id", "left").withColumn("place", F.when(F.col("closes"), "on").otherwise(F.col("place"))).drop("closes")
+    return answers(fragments.where("kind IN ('root', 'cycle')")).unionByName(expanded)
+
+
+def resolve_roots(df: DataFrame, id: str = "id", parent: str = "parent_id", updated_at: str = "updated_at", tie: str = "ingested_at", rows_per_task: int = 200_000) -> DataFrame:
+    """(id, root, depth, cycle_id, place): as ``resolve_hierarchy``, but without paths.
+
+    Nothing here grows with the depth of a node: a link between fragments
+    carries how many links it stands for and the smallest id on them, so a
+    chain of any length costs its rows.
+    """
+    scratch = Scratch(df.sparkSession, "roots")
+    links = current_links(df, id, parent, updated_at, tie)
+    level = scratch.write(links.select("id", "parent", F.lit(1).cast("bigint").alias("gap"), F.col("id").alias("low"), F.lit(None).cast("string").alias("loop")), "links")
+    return solve_light(level, scratch, rows_per_task)
+
+
+def _sum_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of whole fragments (id, parent, weight) the sum of each node's subtree."""
+    parent, total = {}, {}
+    for b in batches:
+        for i, p, w in zip(*(c.to_pylist() for c in b.columns)):
+            parent[i], total[i] = p, w
+    waiting = dict.fromkeys(parent, 0)
+    for p in parent.values():
+        if p in waiting:
+            waiting[p] += 1
+    ready = [i for i, n in waiting.items() if not n]
+    while ready:
+        i = ready.pop()
+        p = parent[i]
+        if p in total:
+            total[p] += total[i]
+            waiting[p] -= 1
+            if not waiting[p]:
+                ready.append(p)
+    yield from _records(total.items(), pa.schema([("id", pa.string()), ("total", pa.int64())]))
+
+
+def subtree_totals(level: DataFrame, scratch: Scratch, rows_per_task: int = 200_000, depth: int = 0, tossed: bool = False) -> DataFrame:
+    """(id, total): the sum of ``weight`` over each node and all below it; ``level`` (id, parent, weight) is a forest.
+
+    Fragments are summed, their sums go up the quotient forest, and what comes
+    back from below is added where it enters a fragment: no row per ancestor.
+    """
+    level = scratch.write(level, f"weights{depth}")
+    total = level.count()
+    tasks = max(1, -(-total // rows_per_task))
+    if tasks == 1:
+        return level.coalesce(1).mapInArrow(_sum_partition, "id string, total bigint")
+    shape = level.select("id", "parent", F.lit(1).cast("bigint").alias("gap"), F.col("id").alias("low"), F.lit(None).cast("string").alias("loop"))
+    fragments = toss_light(shape, depth + 100) if tossed else shape.repartitionByRange(tasks, "id").mapInArrow(_contract_light_partition, LIGHT_FRAGMENT)
+    fragments = scratch.write(fragments.select("id", "parent", "exit").join(level.select("id", "weight"), "id"), f"parts{depth}")
+    exits = fragments.where("id = exit").select("id", F.col("parent").alias("p"))
+    over = fragments.select(F.col("id").alias("p"), F.col("exit").alias("above"))
+    sums = fragments.groupBy(F.col("exit").alias("id")).agg(F.sum("weight").alias("weight"))
+    quotient = exits.join(over, "p", "left").join(sums, "id").select("id", F.col("above").alias("parent"), "weight")
+    quotient = scratch.write(quotient, f"weightquotient{depth}")
+    slow = quotient.count() > 0.7 * total
+    below = subtree_totals(quotient, scratch, rows_per_task, depth + 1, slow)
+    entering = exits.join(below, "id").where("p IS NOT NULL").groupBy(F.col("p").alias("id")).agg(F.sum("total").alias("more"))
+    inner = fragments.join(entering, "id", "left").repartition("exit")
+    return inner.select("id", F.when(F.col("id") != F.col("exit"), F.col("parent")).alias("parent"), (F.col("weight") + F.coalesce("more", F.lit(0))).alias("weight")).mapInArrow(_sum_partition, "id string, total bigint")
+
+
 def descendants(resolved: DataFrame) -> DataFrame:
     """(id, descendant, distance): every node with each node below it, as rows.
 
@@ -203,7 +400,10 @@ def descendants(resolved: DataFrame) -> DataFrame:
     return below.select("id", "descendant", (F.col("depth") - F.col("at")).alias("distance"))
 
 
-def hierarchy_table(resolved: DataFrame) -> DataFrame:
+def hierarchy_table(resolved: DataFrame, rows_per_task: int = 200_000) -> DataFrame:
     """The resolved nodes with the number of their descendants."""
-    counts = descendants(resolved).groupBy("id").agg(F.count("*").alias("n_descendants"))
-    return resolved.join(counts, "id", "left").withColumn("n_descendants", F.when(F.col("cycle_id").isNull(), F.coalesce("n_descendants", F.lit(0))))
+    scratch = Scratch(resolved.sparkSession, "descendants")
+    resolved = scratch.write(resolved, "resolved")
+    forest = resolved.where("cycle_id IS NULL").select("id", F.when(F.col("depth") > 0, F.element_at("path", F.col("depth"))).alias("parent"), F.lit(1).cast("bigint").alias("weight"))
+    counts = subtree_totals(forest, scratch, rows_per_task).select("id", (F.col("total") - 1).alias("n_descendants"))
+    return resolved.join(counts, "id", "left")

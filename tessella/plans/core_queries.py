@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from tessella.operators.hierarchy import descendants, hierarchy_table, resolve_hierarchy
+from tessella.operators.hierarchy import descendants, hierarchy_table, resolve_hierarchy, resolve_roots
 from tessella.runtime import table
 
 
 def p2_found(spark, folder):
     """Nodes of the curriculum editions whose way up never ends, with their loop."""
-    return resolve_hierarchy(table(spark, folder, "curriculum_editions")).where("cycle_id IS NOT NULL").select("id", "cycle_id", "place")
+    return resolve_roots(table(spark, folder, "curriculum_editions")).where("cycle_id IS NOT NULL").select("id", "cycle_id", "place")
 
 
 def p2_hierarchy(spark, folder):

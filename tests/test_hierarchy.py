@@ -1,7 +1,9 @@
 import hashlib
 import random
 
-from tessella.operators.hierarchy import descendants, hierarchy_table, resolve_hierarchy
+import tracemalloc
+
+from tessella.operators.hierarchy import contract, contract_light, descendants, hierarchy_table, resolve_hierarchy, resolve_roots
 
 SCHEMA = "id string, parent_id string, updated_at timestamp, ingested_at timestamp, extra string, root string"
 
@@ -49,6 +51,49 @@ def test_one_task_and_many_agree_with_brute_force(spark):
     assert solved(table(spark, parents.items()), rows_per_task=60) == want
 
 
+def light(df, **k):
+    return {r.id: (r.root, r.depth, r.cycle_id, r.place) for r in resolve_roots(df, **k).collect()}
+
+
+def test_roots_without_paths_agree_with_brute_force(spark):
+    parents = scattered()
+    want = {i: (v[0], v[1], v[3], v[4]) for i, v in brute(parents).items()}
+    assert light(table(spark, parents.items())) == want
+    assert light(table(spark, parents.items()), rows_per_task=60) == want
+    rnd = random.Random(11)
+    for _ in range(2):
+        # Rings over many fragments with trees hanging from them.
+        ring = [f"r{rnd.random():.6f}" for _ in range(45)]
+        parents = dict(zip(ring, ring[1:] + ring[:1]))
+        for k in range(80):
+            parents[f"t{rnd.random():.6f}"] = rnd.choice(list(parents))
+        want = {i: (v[0], v[1], v[3], v[4]) for i, v in brute(parents).items()}
+        assert light(table(spark, parents.items()), rows_per_task=50) == want
+    assert light(table(spark, [])) == {}
+
+
+def test_deep_chains_cost_linear_memory():
+    n = 200_000
+    tracemalloc.start()
+    rows = {f"{i:07d}": (f"{i - 1:07d}" if i else None, 1, f"{i:07d}", None) for i in range(n)}
+    last = None
+    for last in contract_light(rows):
+        pass
+    assert last[4:7] == ("root", "0000000", n - 1)
+    first = next(iter(contract({k: (v[0], [], None) for k, v in rows.items()})))
+    assert first[:3] == ("0000000", "root", "0000000")
+    assert tracemalloc.get_traced_memory()[1] < 400_000_000
+    tracemalloc.stop()
+
+
+def test_descendants_are_counted_over_fragments(spark):
+    parents = {k: v for k, v in scattered().items() if brute(scattered())[k][3] is None}
+    resolved = resolve_hierarchy(table(spark, parents.items()))
+    want = {i: sum(i in v[2][:-1] for v in brute(parents).values()) for i in parents}
+    for rows_per_task in (1000, 50):
+        assert {r.id: r.n_descendants for r in hierarchy_table(resolved, rows_per_task).collect()} == want
+
+
 def test_dirty_parents_are_roots(spark):
     got = solved(table(spark, [("a", None), ("b", "  "), ("c", "　a "), ("d", "nowhere"), (None, "a")]))
     assert {i: (v[0], v[1]) for i, v in got.items()} == {"a": ("a", 0), "b": ("b", 0), "c": ("a", 1), "d": ("d", 0)}
