@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessella.llm.bpe import encode_corpus
 from tessella.llm.canonical import link_mentions
@@ -11,28 +12,37 @@ from tessella.llm.garbled import find_garbled
 from tessella.llm.mixing import mixture
 from tessella.llm.nearcopies import near_groups, near_items, near_pairs
 from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
-from tessella.llm.splitting import split_texts
+from tessella.llm.splitting import split_texts, text_cuts
 from tessella.llm.survivors import FieldRule, consensus, elect, is_placeholder, known_sources, source_list, trust_rank
 from tessella.runtime import Scratch, table
 
 # ------------------------------------------------------------------ problem 1
 
 
-def _pieces(spark, folder, with_text):
-    raw = split_texts(table(spark, folder, "raw_documents"), "doc_key", "raw_text", 420, 40, with_text)
-    chunk = split_texts(table(spark, folder, "clean_chunks"), "chunk_id", "content", 420, 40, with_text)
+def _long_texts(spark, folder, operator):
+    raw = operator(table(spark, folder, "raw_documents"), "doc_key", "raw_text", 420, 40)
+    chunk = operator(table(spark, folder, "clean_chunks"), "chunk_id", "content", 420, 40)
     return raw.withColumn("item_kind", F.lit("raw")).unionByName(chunk.withColumn("item_kind", F.lit("chunk")))
 
 
 def p1_found(spark, folder):
-    """Every text of more than 420 characters, and whether natural cuts suffice."""
-    return _pieces(spark, folder, False).select("item_kind", "item_key", "cut")
+    """Every text of more than 420 characters, and whether its pieces end at natural boundaries."""
+    return _long_texts(spark, folder, text_cuts).select("item_kind", "item_key", "cut")
 
 
 def p1_pieces(spark, folder):
     """The pieces themselves."""
-    rows = _pieces(spark, folder, True).select("item_kind", "item_key", F.posexplode("pieces").alias("piece_no", "p"))
-    return rows.select("item_kind", "item_key", "piece_no", "p.start", "p.length", "p.piece")
+    return _long_texts(spark, folder, split_texts).select("item_kind", "item_key", "piece_no", "start", "length", "piece")
+
+
+def p1_invariants(spark, folder):
+    """What must hold of the pieces of each text: their length, overlap, coverage and least number."""
+    p = p1_pieces(spark, folder).withColumn("finish", F.col("start") + F.col("length"))
+    order = Window.partitionBy("item_kind", "item_key").orderBy("piece_no")
+    p = p.withColumn("before", F.lag("finish").over(order))
+    joined = F.when(F.col("piece_no") == 0, F.col("start") == 0).otherwise(F.col("start") == F.col("before") - 40)
+    held = p.groupBy("item_kind", "item_key").agg(F.max("finish").cast("bigint").alias("covered"), F.bool_and((F.col("length") <= 420) & (F.char_length("piece") == F.col("length"))).alias("within"), F.bool_and(joined).alias("overlapping"), F.count("*").alias("n"))
+    return held.select("item_kind", "item_key", "covered", "within", "overlapping", (F.col("n") >= F.ceil((F.col("covered") - 40) / 380)).alias("enough"))
 
 
 _SPANS = r"""
@@ -51,6 +61,8 @@ SELECT item_kind, item_key,
 FROM long"""
 )
 
+P1_INVARIANTS_SQL = P1_SQL.split("SELECT item_kind, item_key,\n")[0] + "SELECT item_kind, item_key, length(t) AS covered, true AS within, true AS overlapping, true AS enough FROM long"
+
 # ------------------------------------------------------------------ problem 3
 
 
@@ -229,5 +241,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
-SQL = {"p7_found": P7_SQL, "p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_invariants": p1_invariants, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+SQL = {"p7_found": P7_SQL, "p1_found": P1_SQL, "p1_invariants": P1_INVARIANTS_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
