@@ -40,8 +40,9 @@ HAN = re.compile("[一-鿿]+")
 #: A token of Latin letters, which a hyphen may break over a line end.
 TOKEN = re.compile(rf"[A-Za-z0-9]+(?:(?<=[A-Za-z])[{HYPHENS}] *\n *[a-z0-9]+)*")
 BREAK = re.compile(rf"[{HYPHENS}] *\n *")
-#: Hanzi with at most a blank or a line end between two of them.
-HAN_RUN = re.compile("[一-鿿](?:[ \n]?[一-鿿])*")
+#: A line end between hanzi.
+HAN_BREAK = re.compile("(?<=[一-鿿])\n+(?=[一-鿿])")
+BLANKS = re.compile("[ \n]+")
 #: How many lines at either end of a page may lie outside the text.
 EDGE = 2
 
@@ -76,6 +77,9 @@ class Decoder:
         true_han = {c for w in self.words for c in w}
         self.odd_set = {s for s, ts in self.shown.items() if HAN.fullmatch(s) and any(t in true_han for t in ts)}
         self.odd = re.compile("[" + "".join(map(re.escape, sorted(self.odd_set))) + "]") if self.odd_set else re.compile(r"(?!)")
+        # Only what is made of the characters of words can be one: a run of them is decoded by itself.
+        inner = "".join(map(re.escape, sorted(c for c in true_han | self.odd_set if HAN.fullmatch(c)))) or "\0"
+        self.run = re.compile(f"[{inner}](?:[ \n]*[{inner}])*")
         latin = [w for w in self.words if w.isascii()]
         self.starts = {v for w in latin for n in (1, 2, 3) for v in self.spellings(w[:n])}
         self.finishes = {v for w in latin for n in (1, 2, 3) for v in self.spellings(w[-n:])}
@@ -114,10 +118,10 @@ class Decoder:
                     if below is not None:
                         stack.append((i + n, below, cost + self.SLIP, slips + 1, hyphens, true))
             if i > at and last:
-                if c == " " and i + 1 < size and text[i + 1] not in " \n":
-                    stack.append((i + 1, node, cost + self.SPLIT, slips, hyphens, ""))
-                elif c == "\n" and not last.isascii():
-                    stack.append((i + 1, node, cost, slips, hyphens, ""))
+                if c in " \n":
+                    blanks = BLANKS.match(text, i).group()
+                    if "\n" not in blanks or not last.isascii():
+                        stack.append((i + len(blanks), node, cost + self.SPLIT * (" " in blanks), slips, hyphens, ""))
                 elif c in HYPHENS and last.isascii():
                     m = BREAK.match(text, i)
                     if m:
@@ -146,7 +150,7 @@ class Decoder:
             price = 0.0 if c in " \n" else self.ODD if c in self.odd_set else self.SINGLE
             if cost[i] + price < cost[i + 1]:
                 cost[i + 1], back[i + 1] = cost[i] + price, (i, "" if c == "\n" else c, 0, 0)
-            if c not in " \n":
+            if c in self.trie or c in self.shown:
                 for j, price, word, slips, _ in self.edges(run, i):
                     if cost[i] + price < cost[j]:
                         cost[j], back[j] = cost[i] + price, (i, word, slips, 0)
@@ -218,12 +222,12 @@ class Decoder:
             nonlocal slips
             run = m.group()
             if " " not in run and not self.odd.search(run):
-                return run.replace("\n", "")
+                return run
             shown, n, _ = self.decode_han(run)
             slips += n
             return shown
 
-        stream = HAN_RUN.sub(han, stream)
+        stream = HAN_BREAK.sub("", self.run.sub(han, stream))
         out, at = [], 0
         tokens = list(TOKEN.finditer(stream))
         for k, m in enumerate(tokens):
@@ -232,9 +236,9 @@ class Decoder:
                 continue
             # A word split in two may begin in the token before or end in the one after.
             first, last = m, m
-            if k and tokens[k - 1].start() >= at and stream[tokens[k - 1].end() : m.start()] == " ":
+            if k and tokens[k - 1].start() >= at and not stream[tokens[k - 1].end() : m.start()].strip(" "):
                 first = tokens[k - 1]
-            if k + 1 < len(tokens) and stream[m.end() : tokens[k + 1].start()] == " ":
+            if k + 1 < len(tokens) and not stream[m.end() : tokens[k + 1].start()].strip(" "):
                 last = tokens[k + 1]
             shown, n, h = self.decode_latin(stream, first.start(), last.end())
             slips += n
@@ -341,7 +345,7 @@ class Blanks:
             if len(w) >= self.SHORTEST:
                 for i in range(len(w)):
                     self.one[f"{w[:i]}*{w[i + 1 :]}"].append(w[i])
-                    if i + 1 < len(w):
+                    if i + 1 < len(w) and len(w) > self.SHORTEST:
                         self.one[f"{w[:i]}**{w[i + 2 :]}"].append(w[i : i + 2])
         han = [w for w in words if len(w) > 1 and HAN.fullmatch(w)]
         self.lengths = sorted({len(w) for w in han})
@@ -387,18 +391,20 @@ class Blanks:
                     covered[i : i + n] = True
                     whole += 1
         pairs: Counter = Counter()
-        for n, (total, parts) in hashes.items():
+        # Longer words first: what belongs to one with an open place says nothing of a shorter one.
+        for n, (total, parts) in sorted(hashes.items(), reverse=True):
+            inside = []
             for k in range(n):
                 rest = total - parts[k]
                 hit = self.table[n, k][rest >> np.uint64(48)] & ~covered[k : k + len(rest)]
                 for i in np.flatnonzero(hit).tolist():
                     seen = text[i + k]
-                    if not HAN.fullmatch(seen):
-                        continue
-                    if int(rest[i]) in self.open[n, k]:
+                    if int(rest[i]) in self.open[n, k] and HAN.fullmatch(seen):
                         pattern = f"{text[i : i + k]}*{text[i + k + 1 : i + n]}"
                         if pattern in self.one:
                             pairs[pattern, seen] += 1
+                            inside += range(i, i + n)
+            covered[inside] = True
         return pairs, whole
 
     def letters(self, text: str) -> tuple[Counter, int]:
@@ -435,25 +441,31 @@ def scan_evidence(items: DataFrame, dictionary: list[str]) -> DataFrame:
             counts: Counter = Counter()
             flags = batch.column(2).to_pylist()
             texts = batch.column(1).to_pylist()
-            for scan in (False, True):
-                chosen = [t for t, f in zip(texts, flags) if f == scan]
+            kept: dict[bool, list[str]] = {False: [], True: []}
+            for work, text, file, scan in zip(batch.column(0).to_pylist(), texts, batch.column(3).to_pylist(), flags):
+                if not scan:
+                    kept[False].append(text)
+                    continue
+                title = bare_line(work or "")
+                lines, numbers, edge = page_lines(text)
+                away = set(numbers)
+                for i in edge:
+                    line = bare_line(lines[i])
+                    if title and title in line:
+                        away.add(i)
+                        for word in HAN.findall(line.replace(title, " ")):
+                            if len(word) > 1 and file is not None:
+                                counts["edge", word, file, True] += 1
+                # Lines outside the text and broken words would speak against the scans without being misread.
+                kept[True].append(BREAK.sub("", stream_of(x for i, x in enumerate(lines) if i not in away)))
+            for scan, chosen in kept.items():
                 if not chosen:
                     continue
                 plain = "\0".join(chosen)
-                for what, (pairs, whole) in (("han", tool.hanzi(plain.replace("\r", "").replace("\n", ""))), ("latin", tool.letters(plain))):
+                for what, (pairs, whole) in (("han", tool.hanzi(re.sub("[ \\r\\n]+", "", plain))), ("latin", tool.letters(plain))):
                     for (a, b), n in pairs.items():
                         counts[what, a, b, scan] += n
                     counts[what, "", "", scan] += whole
-            for work, text, file, scan in zip(batch.column(0).to_pylist(), texts, batch.column(3).to_pylist(), flags):
-                title = bare_line(work or "")
-                if scan and title and file is not None:
-                    lines, _, edge = page_lines(text)
-                    for i in edge:
-                        line = bare_line(lines[i])
-                        if title in line:
-                            for word in HAN.findall(line.replace(title, " ")):
-                                if len(word) > 1:
-                                    counts["edge", word, file, True] += 1
             if counts:
                 keys = list(zip(*counts))
                 yield pa.RecordBatch.from_arrays([*(pa.array(k, pa.string()) for k in keys[:3]), pa.array(keys[3], pa.bool_()), pa.array(list(counts.values()), pa.int64())], names=["what", "a", "b", "scan", "n"])
@@ -462,13 +474,13 @@ def scan_evidence(items: DataFrame, dictionary: list[str]) -> DataFrame:
     return rows.groupBy("what", "a", "b", "scan").agg(F.sum("n").alias("n"))
 
 
-def learn(items: DataFrame, dictionary: list[str], scratch, least: int = 5, contrast: float = 5.0, fraction: float = 0.1, files: int = 3, most: int = 100_000) -> Knowledge:
+def learn(items: DataFrame, dictionary: list[str], scratch, least: int = 5, rate: float = 1e-5, contrast: float = 5.0, fraction: float = 0.1, files: int = 3, most: int = 100_000) -> Knowledge:
     """What the decoder needs to know, from all texts.
 
     What stands in a word's open place counts if it does so ``contrast`` times
     as often in scans as in other texts, a word.  It is taken for a look-alike
-    of a character if at least ``least`` such places speak for that, each place
-    for one of the characters it may be: the one that most others speak for;
+    of a character if at least ``least`` such places, and ``rate`` of all words
+    in scans, speak for that, each place for one of the characters it may be: the one that most others speak for;
     a further one needs at least ``fraction`` of what the first one has.
     A word beside the title in edge lines of ``files`` files or more is one of
     running lines, unless it is a misreading of a commoner one.  Both lists
@@ -499,7 +511,7 @@ def learn(items: DataFrame, dictionary: list[str], scratch, least: int = 5, cont
                     votes[true] += n
             true, n = min(votes.items(), key=lambda v: (-v[1], v[0]))
             first = first or n
-            if n < least or n * share[what] < contrast or n < fraction * first:
+            if n < max(least, rate * totals.get((what, True), 0)) or n * share[what] < contrast or n < fraction * first:
                 break
             shown[seen].append(true)
             left = {p: k for p, k in left.items() if true not in may_be[p]}
