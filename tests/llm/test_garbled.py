@@ -40,6 +40,54 @@ def test_proper_writing_and_quoted_examples_are_left(text):
     assert repair(text) == (False, False, text)
 
 
+RUSSIAN = "Каждый узел дерева хранит ключ, и поиск начинается с корня."
+KOREAN = "각 노드는 하나의 키를 가지고 있으며 검색은 루트에서 시작한다"
+JAPANESE = "それぞれのノードはキーを一つ持ち、検索は根から始まります。"
+
+
+@pytest.mark.parametrize(
+    "text, written, read",
+    [
+        (RUSSIAN, "cp1251", "latin-1"),
+        (RUSSIAN, "cp1251", "koi8_r"),
+        (RUSSIAN, "koi8_r", "cp1251"),
+        (RUSSIAN, "cp866", "cp1251"),
+        (GERMAN, "utf-8", "cp1250"),
+        (GERMAN, "utf-8", "iso8859_15"),
+        ("über alles", "utf-8", "iso8859_15"),
+        (TEXT, "gbk", "big5"),
+        (JAPANESE, "cp932", "gbk"),
+        (JAPANESE, "cp932", "latin-1"),
+        (KOREAN, "euc_kr", "latin-1"),
+    ],
+)
+def test_pairs_of_many_encodings(text, written, read):
+    seen = text.encode(written).decode(read, "replace")
+    garbled, restored, back = repair(seen)
+    assert garbled
+    # Either the text is back, or what is there is still what was seen where it couldn't be.
+    assert back == text if restored else back != text
+
+
+@pytest.mark.parametrize("text, written, read", [(RUSSIAN, "cp1251", "latin-1"), (RUSSIAN, "cp1251", "koi8_r"), (GERMAN, "utf-8", "cp1250"), ("über alles", "utf-8", "iso8859_15"), (KOREAN, "euc_kr", "latin-1")])
+def test_these_come_back(text, written, read):
+    assert repair(text.encode(written).decode(read)) == (True, True, text)
+
+
+def test_many_rounds_and_long_quotations():
+    seen = GERMAN
+    for _ in range(4):
+        seen = seen.encode("utf-8").decode("latin-1")
+    assert repair(seen) == (True, True, GERMAN)
+    quoted = f"So sieht das aus: “{wrong(GERMAN, 'utf-8', 'latin-1')}”, wenn man falsch liest."
+    assert repair(quoted) == (False, False, quoted)
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, KOREAN, JAPANESE, RUSSIAN.upper(), "ПРИВЕТ мир", "Größe", "naïveté coöperation", "Łódź źdźbło żółć", "çığır açan şey", "ﾃｽﾄです", "臺灣與韓國的龘字", "±½°→≠∑√", "Ærø Ålesund øæå"])
+def test_other_languages_are_left(text):
+    assert repair(text) == (False, False, text)
+
+
 def test_operator(spark):
     bad = wrong(GERMAN, "utf-8", "cp1252")
     df = spark.createDataFrame([(1, bad, "x"), (2, None, "x"), (3, "", "x"), (4, TEXT * 5000, "x"), (1, bad, "x")], "doc_id bigint, text string, garbled string")
