@@ -9,18 +9,44 @@ link is left the seeds' identifiers flow down the forest.
 
 Neighbourhoods are only ever aggregated, never gathered, so a hub with a third
 of all links costs partial minima.  Each round's tables are written to the
-shared folder and the previous ones removed.
+shared folder and the previous ones removed.  What a round leaves is finished
+in one task once it is no more than ``finish`` links: the same groups, without
+rounds that cost more to start than to run.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.runtime import Scratch, is_empty
+from tessella.runtime import Scratch
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(child, above) from links (a, b): each vertex but the least of its group hangs below that least one."""
+    top: dict = {}
+
+    def find(x):
+        while (y := top.setdefault(x, x)) != x:
+            top[x] = x = top.setdefault(y, y)
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.types[0]
+        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            a, b = find(a), find(b)
+            top[max(a, b)] = min(a, b)
+    below = [(v, find(v)) for v in list(top) if find(v) != v]
+    if below:
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*below)], names=["child", "above"])
 
 
-def components(links: DataFrame, left: str, right: str) -> DataFrame:
+def components(links: DataFrame, left: str, right: str, finish: int = 50_000) -> DataFrame:
     """(vertex, group_id) of every vertex with a link to another one.
 
     ``group_id`` is the smallest vertex reachable, in byte order (which for
@@ -30,9 +56,14 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     scratch = Scratch(links.sparkSession, "components")
     pairs = links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     graph = scratch.write(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "graph0")
+    kind = pairs.schema["a"].dataType.simpleString()
     forest: list[DataFrame] = []
-    turn = 0
-    while not is_empty(graph):
+    turn, left_over = 0, graph.count()
+    while left_over:
+        if turn and left_over <= finish:
+            rest = graph.coalesce(1).mapInArrow(_finish, f"child {kind}, above {kind}")
+            forest.append(scratch.write(rest, "rest"))
+            break
         both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # (u, m): the least of u and its neighbours.
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -47,21 +78,21 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         scratch.drop(f"graph{turn}")
         scratch.drop(f"proposed{turn}")
         turn += 1
+        left_over = graph.count()
     if not forest:
-        return links.sparkSession.createDataFrame([], f"vertex {pairs.schema['a'].dataType.simpleString()}, group_id {pairs.schema['a'].dataType.simpleString()}")
+        return links.sparkSession.createDataFrame([], f"vertex {kind}, group_id {kind}")
     # A vertex of a late turn lies above those of earlier ones: going back, each child's parent is answered already.
-    answered: DataFrame | None = None
+    answered: list[DataFrame] = []
     for k, tree in enumerate(reversed(forest)):
-        if answered is None:
+        if not answered:
             found = tree.select(F.col("child").alias("vertex"), F.col("above").alias("group_id"))
         else:
-            top = answered.select(F.col("vertex").alias("above"), "group_id")
+            top = reduce(DataFrame.unionByName, answered).select(F.col("vertex").alias("above"), "group_id")
             found = tree.join(top, "above", "left").select(F.col("child").alias("vertex"), F.coalesce("group_id", "above").alias("group_id"))
-            found = answered.unionByName(found)
-        answered = scratch.write(found, f"answered{k}")
-        scratch.drop(f"answered{k - 1}")
-    seeds = answered.select(F.col("group_id").alias("vertex")).distinct().withColumn("group_id", F.col("vertex"))
-    return answered.unionByName(seeds)
+        answered.append(scratch.write(found, f"answered{k}"))
+    everyone = reduce(DataFrame.unionByName, answered)
+    seeds = everyone.select(F.col("group_id").alias("vertex")).distinct().withColumn("group_id", F.col("vertex"))
+    return everyone.unionByName(seeds)
 
 
 def entity_links(prepared: DataFrame, matches: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -342,12 +342,26 @@ def near_classes(items: DataFrame, scratch: Scratch, threshold: float = 0.6, wid
     return members, scratch.write(checked, "checked")
 
 
+def copy_pairs(members: DataFrame, block: int = 2_000) -> DataFrame:
+    """(item_kind, key_a, key_b): every pair of members of one class.
+
+    A class of many members is paired block against block, so that a text that
+    a third of all rows share is spread over as many tasks as its pairs need.
+    """
+    sizes = members.groupBy("item_kind", "cid").agg(F.count("*").alias("n")).where("n > 1").select("item_kind", "cid", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    placed = members.join(sizes, ["item_kind", "cid"]).withColumn("own", F.pmod(F.xxhash64("item_key"), F.col("blocks")).cast("int"))
+    low = placed.select("item_kind", "cid", F.col("own").alias("low"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("high"), F.col("item_key").alias("x"))
+    high = placed.select("item_kind", "cid", F.explode(F.sequence(F.lit(0), "own")).alias("low"), F.col("own").alias("high"), F.col("item_key").alias("y"))
+    both = low.join(high, ["item_kind", "cid", "low", "high"]).where("low < high OR x < y")
+    return both.select("item_kind", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
+
+
 def near_pairs(items: DataFrame, threshold: float = 0.6, width: int = 5, block: int = BLOCK) -> DataFrame:
     """(item_kind, key_a, key_b): every pair of keys of one kind at or above the threshold, key_a < key_b."""
     scratch = Scratch(items.sparkSession, "near")
     members, pairs = near_classes(items, scratch, threshold, width, block)
     one = lambda c, k: members.select("item_kind", F.col("cid").alias(c), F.col("item_key").alias(k))
-    copies = one("cid", "x").join(one("cid", "y"), ["item_kind", "cid"]).where("x < y").select("item_kind", F.col("x").alias("key_a"), F.col("y").alias("key_b"))
+    copies = copy_pairs(members)
     across = pairs.select("a", "b").join(one("a", "x"), "a").join(one("b", "y").drop("item_kind"), "b")
     return copies.unionByName(across.select("item_kind", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")))
 

@@ -20,8 +20,8 @@ def brute(links):
     return {x: find(x) for x in parent}
 
 
-def run(spark, links):
-    return {r.vertex: r.group_id for r in components(spark.createDataFrame(links, "l string, r string"), "l", "r").collect()}
+def run(spark, links, **k):
+    return {r.vertex: r.group_id for r in components(spark.createDataFrame(links, "l string, r string"), "l", "r", **k).collect()}
 
 
 def test_shapes(spark):
@@ -33,7 +33,7 @@ def test_shapes(spark):
     loose = [(f"n{rnd.randrange(60)}", f"n{rnd.randrange(60)}") for _ in range(50)]
     odd = [("a", "a"), (None, "b"), ("b", None), ("x", "y"), ("y", "x"), ("x", "y")]
     links = chain + star + ring + loose + odd
-    assert run(spark, links) == brute(links)
+    assert run(spark, links) == run(spark, links, finish=0) == brute(links)
 
 
 def test_empty_and_self_links_only(spark):

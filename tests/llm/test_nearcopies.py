@@ -83,3 +83,15 @@ def test_a_hot_shard_is_searched_block_against_block(spark):
     df = spark.createDataFrame([(f"k{i:02d}", f"{base} own{i} {rnd.random()}") for i in range(40)], "id string, t string")
     got = n.near_pairs(n.near_items(df, "q", F.col("id"), F.col("t")), block=8).count()
     assert got == 40 * 39 // 2
+
+
+def test_copies_of_a_hot_text_are_paired_in_blocks(spark):
+    from itertools import combinations
+
+    from tessella.llm.nearcopies import copy_pairs
+
+    rows = [("q", 1, f"k{i:02d}") for i in range(23)] + [("q", 2, "a"), ("q", 2, "b"), ("q", 3, "alone"), ("c", 1, "x")]
+    members = spark.createDataFrame(rows, "item_kind string, cid bigint, item_key string")
+    want = {("q", *p) for p in combinations([f"k{i:02d}" for i in range(23)], 2)} | {("q", "a", "b")}
+    got = [tuple(r) for r in copy_pairs(members, block=4).collect()]
+    assert set(got) == want and len(got) == len(want)
