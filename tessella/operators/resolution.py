@@ -148,25 +148,171 @@ def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
 def similar_names(entities: DataFrame, least: float = 0.88, shortest: int = 2) -> DataFrame:
     """(type, left, right, ratio): pairs of different fingerprints of a type that are nearly alike or one in the other.
 
-    No name is held against all others.  A ratio of ``least`` needs so many
-    characters in common that two names share one of their rarest few, which
-    the candidates are joined on; containment has its own join.  Names that
-    differ in marks only are one fingerprint from the start.
+    No name is held against all others.  Two names at a ratio of ``least`` have
+    long common blocks, so of the pairs of neighbouring letters of either one
+    at least ``shared`` are common, and they meet in one of the rarest few,
+    which the candidates are joined on; containment has its own join.  Names
+    that differ in marks only are one fingerprint from the start.
     """
     names = entities.select("type", fingerprint(F.col("name")).alias("name")).where("name <> '' AND type IS NOT NULL").distinct()
     n = F.char_length("name")
-    letters = F.filter(F.split("name", ""), lambda x: x != "")
-    # A letter counts once per occurrence: its second one is another token.
-    marked = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.element_at(letters, i), F.size(F.filter(F.slice(letters, F.lit(1), i), lambda y: y == F.element_at(letters, i))).cast("string")))
-    tokens = names.select("type", "name", F.explode(marked).alias("token"))
+    pair = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring("name", i, F.lit(2)))
+    # A pair of letters counts once per occurrence: its second one is another token.
+    marked = F.transform(pair, lambda x, i: F.concat(x, F.size(F.filter(F.slice(pair, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+    tokens = names.where(n > 1).select("type", "name", F.explode(marked).alias("token"))
     rarity = tokens.groupBy("type", "token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("type", "name").orderBy("df", "token")
     ranked = tokens.join(rarity, ["type", "token"]).withColumn("place", F.row_number().over(order))
-    # Of n letters at least n * least / (2 - least) are shared with any name near enough, so one of the first n - that + 1 is.
-    prefix = ranked.where(F.col("place") <= n - F.ceil(n * (least / (2 - least)) - 1e-9) + 1).select("type", "name", "token")
+    # T letters in both names, u of them in no block: 2 M = T - u, at most u + 1 blocks, u <= (1 - least) T, T >= n (1 + least / (2 - least)).
+    shared = F.greatest(F.lit(1), F.ceil(n * ((1.5 * least - 1) * (1 + least / (2 - least))) - 1 - 1e-9))
+    prefix = ranked.where(F.col("place") <= n - shared).select("type", "name", "token")
     near = prefix.select("type", "token", F.col("name").alias("left")).join(prefix.select("type", "token", F.col("name").alias("right")), ["type", "token"]).where("left < right").select("type", "left", "right").distinct()
     near = near.withColumn("ratio", matching_ratio("left", "right")).where(F.col("ratio") >= least)
     inside = containing(names.select(F.concat("type", F.lit("\u0001"), "name").alias("id"), "name"), "id", "name", names.where(n > shortest), "name")
     inside = inside.select(F.substring_index("id", "\u0001", 1).alias("type"), F.substring_index("id", "\u0001", -1).alias("whole"), F.col("phrase").alias("part")).where("whole <> part")
     inside = inside.join(names.select("type", F.col("name").alias("part")), ["type", "part"], "left_semi").select("type", F.least("whole", "part").alias("left"), F.greatest("whole", "part").alias("right")).distinct()
-    return near.select("type", "left", "right").unionByName(inside).distinct().withColumn("ratio", F.round(matching_ratio("left", "right"), 4))
+    rest = inside.join(near.select("type", "left", "right"), ["type", "left", "right"], "left_anti")
+    return near.unionByName(rest.withColumn("ratio", matching_ratio("left", "right"))).withColumn("ratio", F.round("ratio", 4))
+
+
+#: Spellings of names, compared in lower case; each stands for one name.
+NAME_ALIASES = {
+    "oop": "面向对象编程",
+    "面向对象": "面向对象编程",
+    "面向对象程序设计": "面向对象编程",
+    "programmingparadigm": "面向对象编程",
+    "object-oriented programming": "面向对象编程",
+    "class": "类",
+    "object": "对象",
+    "method": "方法",
+    "field": "属性",
+    "member variable": "属性",
+    "constructor": "构造方法",
+    "inheritance": "继承",
+    "polymorphism": "多态",
+    "encapsulation": "封装",
+    "interface": "接口",
+    "java": "Java",
+    "java语言": "Java",
+    "java language": "Java",
+    "面向对象方法": "面向对象编程",
+    "面向对象技术": "面向对象编程",
+    "面向对象语言": "面向对象编程",
+    "object oriented programming": "面向对象编程",
+    "for 循环": "for循环",
+    "for-loop": "for循环",
+    "for loop": "for循环",
+    "for语句": "for循环",
+    "class关键字": "class",
+    "extends关键字": "extends",
+    "implements关键字": "implements",
+    "interface关键字": "interface",
+    "成员函数": "方法",
+    "成员方法": "方法",
+    "成员变量": "属性",
+    "构造函数": "构造方法",
+    "上塑造型": "向上转型",
+}
+#: Spellings of relations, compared as given and in lower case.
+RELATION_ALIASES = {
+    "属于": "part_of",
+    "组成": "part_of",
+    "包括": "part_of",
+    "包含": "part_of",
+    "是组成部分": "part_of",
+    "partof": "part_of",
+    "属于范式": "belongs_to_paradigm",
+    "归属于范式": "belongs_to_paradigm",
+    "前置知识": "prerequisite_of",
+    "先修": "prerequisite_of",
+    "需要先学习": "prerequisite_of",
+    "prerequisite": "prerequisite_of",
+    "实现于": "implemented_in",
+    "由语言实现": "implemented_in",
+    "语法是": "has_syntax",
+    "具有语法": "has_syntax",
+    "表达": "expresses_concept",
+    "表达概念": "expresses_concept",
+    "演示": "demonstrates",
+    "示例说明": "demonstrates",
+    "使用语法": "uses_syntax",
+    "包含结构": "contains_structure",
+    "考察": "assesses",
+    "测试": "assesses",
+    "需要能力": "requires_skill",
+    "导致": "may_cause",
+    "可能导致": "may_cause",
+    "易混淆": "confused_with",
+    "容易混淆": "confused_with",
+    "等价": "equivalent_to",
+    "同义": "equivalent_to",
+    "不同于": "differs_from",
+    "区别于": "differs_from",
+    "继承": "inherits_from",
+    "继承自": "inherits_from",
+    "实现接口": "implements_interface",
+}
+
+
+def mapped_to(value: Column, table: dict[str, str]) -> Column:
+    """What the table says of a value, else null; a literal map, so no join."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), value)
+
+
+def canonical_name(name: Column, aliases: dict[str, str] = NAME_ALIASES) -> Column:
+    """The name an entity goes by: normal spelling, ``Java`` joined to what follows, aliases, ``for循环`` without blank."""
+    value = F.regexp_replace(normal_name(name), r"(?i)^java\s+", "Java")
+    loop = F.regexp_replace(value, r"(?iU)\bfor\s+循环", "for循环")
+    return F.coalesce(mapped_to(F.lower(value), aliases), loop)
+
+
+def forced_type(name: Column, kind: Column, forced: dict[str, str], known=NODE_TYPES) -> Column:
+    """The type that a name forces, else the vocabulary's one for the type as given."""
+    return F.coalesce(mapped_to(canonical_name(name), forced), normal_type(kind)) if forced else normal_type(kind)
+
+
+def canonical_relation(kind: Column, known, aliases: dict[str, str] = RELATION_ALIASES) -> Column:
+    """The relation's name in the vocabulary: as given, by alias, or in lower case."""
+    value = text(compatibility_form(F.coalesce(kind, F.lit(""))))
+    low = F.lower(value)
+    return F.when(value.isin(*known), value).otherwise(F.coalesce(mapped_to(value, aliases), F.when(low.isin(*known), low), mapped_to(low, aliases), low))
+
+
+def entity_key(kind: Column, name: Column) -> Column:
+    """What makes two entities one: type and fingerprint of the name."""
+    return F.struct(kind.alias("type"), fingerprint(name).alias("print"))
+
+
+def resolve_endpoints(relations: DataFrame, entities: DataFrame, sides: tuple[str, ...] = ("head", "tail")) -> DataFrame:
+    """Relations with ``{side}_id``: the entity each end means, null if none.
+
+    ``entities`` is (id, name, type, original_name, original_type, ord).  An end
+    is looked up by its normal type and name, else as given; an entity answers
+    to its normal and to its original names, of several the last by ``ord``.
+    Two equi-joins a side.
+    """
+    spelled = F.array(F.struct(F.col("type").alias("t"), F.col("name").alias("n")), F.struct(F.col("original_type").alias("t"), F.col("original_name").alias("n")))
+    keys = entities.select("id", "ord", F.inline(spelled)).select("id", "ord", entity_key(F.coalesce("t", F.lit("")), canonical_name(F.col("n"))).alias("key"))
+    known = keys.where("key.print <> ''").groupBy("key").agg(F.max_by("id", F.struct("ord", "id")).alias("id"))
+    out = relations
+    for side in sides:
+        normal = entity_key(normal_type(F.col(f"{side}_type")), canonical_name(F.col(side)))
+        raw = entity_key(F.coalesce(F.col(f"{side}_type"), F.lit("")), F.coalesce(F.col(side), F.lit("")))
+        first, second = known.select(F.col("key").alias("_k"), F.col("id").alias("_first")), known.select(F.col("key").alias("_k"), F.col("id").alias("_second"))
+        out = out.withColumn("_n", normal).withColumn("_r", raw).join(first, F.col("_n") == F.col("_k"), "left").drop("_k").join(second, F.col("_r") == F.col("_k"), "left")
+        out = out.withColumn(f"{side}_id", F.coalesce("_first", "_second")).drop("_k", "_n", "_r", "_first", "_second")
+    return out
+
+
+def inferred_entities(relations: DataFrame, entities: DataFrame, least: float = 0.55) -> DataFrame:
+    """(name, type, confidence, relations): ends of relations that no entity stands for.
+
+    ``relations`` has head, head_type, tail, tail_type, confidence; the
+    confidence is that of the surest relation less 0.05, ``least`` at least.
+    """
+    ends = F.array(*(F.struct(F.col(s).alias("name"), F.col(f"{s}_type").alias("type")) for s in ("head", "tail")))
+    each = relations.select(F.inline(ends), "confidence").select(canonical_name(F.col("name")).alias("name"), normal_type(F.col("type")).alias("type"), "confidence").where((F.col("name") != "") & F.col("type").isin(*NODE_TYPES))
+    own = entities.select(entity_key(normal_type(F.col("type")), canonical_name(F.col("name"))).alias("key")).distinct()
+    new = each.withColumn("key", entity_key(F.col("type"), F.col("name"))).join(own, "key", "left_anti")
+    sure = F.greatest(F.lit(least), F.max(safe_float(F.col("confidence"), 0.0)) - 0.05)
+    return new.groupBy("key").agg(F.min("name").alias("name"), sure.alias("confidence"), F.count("*").alias("relations")).select("name", "key.type", "confidence", "relations")

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tessella.functions.coerce import text
 from tessella.operators.graph import priority
-from tessella.runtime import Scratch, is_empty
+from tessella.runtime import Scratch
 from tessella.vocabulary import VIEW_PRIORITY
 
-#: How a question starts, and words one of which it holds.
-QUESTION_START = r"^\s*(\d+[.、)）]|[（(]\d+[)）]|【?例\s*\d*|题\s*\d*[:：])"
-QUESTION_WORDS = ("？", "?", "下列", "请", "写出", "输出", "编写", "说明", "求", "哪", "什么")
-
 
 def trimmed_edges(edges: DataFrame, view: str, most: int = 36, full: int = 500) -> DataFrame:
     """The edges of each view, at most ``most``: first those that reach a new node, then the next in order.
@@ -53,24 +51,49 @@ def trimmed_edges(edges: DataFrame, view: str, most: int = 36, full: int = 500)
     return picked.groupBy(view).applyInPandas(trim, schema)
 
 
-def cyclic_part(edges: DataFrame) -> DataFrame:
+def _peel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges left when nodes without an edge in or out are peeled off, in time linear in the edges."""
+    edges = {e for b in batches for e in zip(*(c.to_pylist() for c in b.columns))}
+    for flip in (False, True):
+        into, out = Counter(), defaultdict(list)
+        for s, t in edges:
+            s, t = (t, s) if flip else (s, t)
+            into[t] += 1
+            out[s].append(t)
+        ready = [n for n in out if not into[n]]
+        gone = set()
+        while ready:
+            n = ready.pop()
+            gone.add(n)
+            for t in out.get(n, ()):
+                into[t] -= 1
+                if not into[t]:
+                    ready.append(t)
+        edges = {(s, t) for s, t in edges if (t if flip else s) not in gone}
+    if edges:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*edges)], names=["source", "target"])
+
+
+def cyclic_part(edges: DataFrame, finish: int = 500_000) -> DataFrame:
     """(source, target): directed edges on a cycle or on a way between cycles; empty if the graph is acyclic.
 
     Nodes without an edge in or without an edge out are peeled off round by
-    round; rounds are written and the lineage cut.
+    round; rounds are written and the lineage cut.  Once no more than
+    ``finish`` edges are left one task peels the rest to the end, however long
+    its ways are.
     """
     scratch = Scratch(edges.sparkSession, "cyclic")
     rest = scratch.write(edges.select("source", "target").distinct(), "rest0")
-    turn = 0
-    while True:
+    left, turn = rest.count(), 0
+    while left > finish:
         kept = rest.join(rest.select(F.col("target").alias("source")).distinct(), "source", "left_semi").join(rest.select(F.col("source").alias("target")).distinct(), "target", "left_semi").select("source", "target")
         turn += 1
-        kept = scratch.write(kept, f"rest{turn}")
-        done = kept.count() == rest.count()
+        rest, before = scratch.write(kept, f"rest{turn}"), left
         scratch.drop(f"rest{turn - 1}")
-        rest = kept
-        if done or is_empty(rest):
+        left = rest.count()
+        if left == before:
             return rest
+    return rest.coalesce(1).mapInArrow(_peel, "source string, target string")
 
 
 def triples(nodes: DataFrame, edges: DataFrame, base: str = "kg:") -> DataFrame:
@@ -82,23 +105,6 @@ def triples(nodes: DataFrame, edges: DataFrame, base: str = "kg:") -> DataFrame:
     return own.unionByName(edges.select(name(F.col("source")).alias("subject"), F.col("type").alias("predicate"), name(F.col("target")).alias("object")))
 
 
-def question_blocks(rows: DataFrame, key: str, content: str) -> DataFrame:
-    """(key, block_no, block): lines of a text gathered from each question start to the next; lines before the first are left out."""
-    lines = rows.select(F.col(key), F.posexplode(F.split(F.coalesce(content, F.lit("")), "\r?\n")).alias("at", "line")).withColumn("line", text(F.col("line"))).where("line <> ''")
-    order = Window.partitionBy(key).orderBy("at")
-    marked = lines.withColumn("block_no", F.sum(F.rlike("line", F.lit(QUESTION_START)).cast("bigint")).over(order)).where("block_no > 0")
-    return marked.groupBy(key, "block_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("block"))
-
-
-def question_like(content: Column, least: int = 30) -> Column:
-    """Long enough, and starting like a question or asking one, with a word that questions hold."""
-    body = text(content)
-    holds = F.lit(False)
-    for w in QUESTION_WORDS:
-        holds = holds | F.contains(body, F.lit(w))
-    return (F.char_length(body) >= least) & holds & ~body.startswith("打开文件")
-
-
 def json_object(content: Column) -> Column:
     """The JSON object in a text, from a fenced block or between the outermost braces; null if there is none."""
     found = F.regexp_extract(F.regexp_replace(F.coalesce(content, F.lit("")), r"(?s)^\s*```(?:json)?|```\s*$", ""), r"(?s)\{.*\}", 0)

@@ -292,11 +292,6 @@ _unions("s12_node", "standard_nodes", {"id": True}, {"chunks": ("source_chunk_id
 _unions("a5_edge", "standard_edges", {"source": True, "type": False, "target": True}, {"chunks": ("source_chunks", "chunk_id"), "originals": ("original_relation_ids", "relation_id")})
 
 
-@query("c4_names")
-def c4_names(spark, folder):
-    """The normal spelling of every entity's original name."""
-    return table(spark, folder, "prepared_entities").select("raw_id", "original_name").distinct().select("raw_id", r.normal_name(F.col("original_name")).alias("name"))
-
 
 @query("c5_types", f"SELECT DISTINCT original_type, {_TYPE.format(_t('original_type'))} AS type FROM prepared_entities")
 def c5_types(spark, folder):

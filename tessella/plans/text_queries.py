@@ -205,18 +205,6 @@ def c11_concepts(spark, folder):
     return _chunks(spark, folder).select("chunk_id", F.array_join(x.concepts_in(F.coalesce("content", F.lit(""))), " ").alias("words"))
 
 
-@query("g14_rule_entities")
-def g14_rule_entities(spark, folder):
-    """Entities that the rules find in the chunks."""
-    return x.rule_entities(_chunks(spark, folder)).drop("content")
-
-
-@query("g15_merged_entities")
-def g15_merged_entities(spark, folder):
-    """The rules' entities, scored, filtered and merged."""
-    return x.merged_entities(x.rule_entities(_chunks(spark, folder)))
-
-
 _SOUND = "CASE WHEN confidence > 0 AND confidence <= 1 AND NOT isnan(confidence) THEN confidence END"
 
 

@@ -56,24 +56,6 @@ def k12_triples(spark, folder):
     return v.triples(*_graph(spark, folder))
 
 
-_RAW = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_key) AS k FROM raw_documents) WHERE k = 1)"
-
-
-@query(
-    "t26_question_blocks",
-    f"""WITH l AS (SELECT doc_key, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_key, string_split_regex(coalesce(raw_text, ''), '\\r?\\n') AS ls FROM {_RAW})),
-m AS (SELECT doc_key, {_STRIP.format("line")} AS line, i FROM l), b AS (SELECT doc_key, line, i, sum(regexp_matches(line, '^\\s*(\\d+[.、)）]|[（(]\\d+[)）]|【?例\\s*\\d*|题\\s*\\d*[:：])')::INT) OVER (PARTITION BY doc_key ORDER BY i) AS block_no FROM m WHERE line <> '')
-SELECT doc_key, block_no::BIGINT AS block_no, string_agg(line, chr(10) ORDER BY i) AS block FROM b WHERE block_no > 0 GROUP BY doc_key, block_no""",
-)
-def t26_question_blocks(spark, folder):
-    return v.question_blocks(table(spark, folder, "raw_documents").dropDuplicates(["doc_key"]), "doc_key", "raw_text")
-
-
-@query("f20_question_like", f"SELECT doc_key FROM {_RAW} WHERE length({_STRIP.format('raw_text')}) >= 30 AND ({' OR '.join(f'contains(raw_text, {w!r})' for w in v.QUESTION_WORDS)}) AND NOT starts_with({_STRIP.format('raw_text')}, '打开文件')")
-def f20_question_like(spark, folder):
-    return table(spark, folder, "raw_documents").dropDuplicates(["doc_key"]).where(v.question_like(F.col("raw_text"))).select("doc_key")
-
-
 @query("t21_shown_questions", f"WITH {QQ} SELECT question_id AS id, stem AS label, type, len(list_distinct(options))::BIGINT AS options, len(list_distinct(abilities))::BIGINT AS abilities, nullif(answer, '') AS answer FROM qq")
 def t21_shown_questions(spark, folder):
     return _questions(spark, folder).select(F.col("question_id").alias("id"), F.col("stem").alias("label"), "type", F.size("options").cast("bigint").alias("options"), F.size("abilities").cast("bigint").alias("abilities"), F.nullif("answer", F.lit("")).alias("answer"))
@@ -92,7 +74,19 @@ def a8_report(spark, folder):
     return rows.agg(F.count("*").alias("edges"), F.count_if("valid").alias("valid"), F.count_if(F.col("confidence") >= 0.85).alias("sure"), F.round(F.count_if("valid") / F.count("*"), 6).alias("valid_rate"))
 
 
-@query("g13_repaired", KG + "SELECT source AS head, type AS relation, target AS tail FROM t WHERE NOT (type = 'has_syntax' AND source_type = 'SyntaxRule' AND target_type = 'KnowledgePoint') UNION ALL SELECT target, type, source FROM t WHERE type = 'has_syntax' AND source_type = 'SyntaxRule' AND target_type = 'KnowledgePoint'")
+_C = "CASE WHEN {0} = 'KnowledgePoint' THEN 'OOPConcept' ELSE {0} END"
+
+
+@query(
+    "g13_repaired",
+    KG
+    + f""", x AS (SELECT source AS h, {_C.format("source_type")} AS ht, type AS r, target AS t, {_C.format("target_type")} AS tt FROM t),
+y AS (SELECT *, coalesce(r = 'belongs_to_paradigm' AND ht = 'ProgrammingParadigm' AND tt = 'OOPConcept' OR r = 'belongs_to_paradigm' AND ht = 'ProgrammingLanguage' AND tt = 'ProgrammingParadigm'
+  OR r = 'has_code_structure' AND ht = 'OOPConcept' AND tt = 'OOPConcept' OR r = 'has_syntax' AND ht = 'SyntaxRule' AND tt = 'OOPConcept', false) AS turn,
+  CASE WHEN r = 'part_of' AND ht = 'OOPConcept' AND tt = 'ProgrammingParadigm' THEN 'belongs_to_paradigm' WHEN r = 'part_of' AND ht = 'OOPConcept' AND tt = 'ProgrammingLanguage' THEN 'implemented_in'
+  WHEN r = 'belongs_to_paradigm' AND ht = 'ProgrammingLanguage' AND tt = 'ProgrammingParadigm' THEN 'implemented_in' WHEN r IN ('has_code_structure', 'expresses_concept') AND ht = 'OOPConcept' AND tt = 'OOPConcept' THEN 'part_of' ELSE r END AS nr FROM x)
+SELECT CASE WHEN turn THEN t ELSE h END AS head, nr AS relation, CASE WHEN turn THEN h ELSE t END AS tail FROM y""",
+)
 def g13_repaired(spark, folder):
     """Edges turned where their direction contradicts their types; points stand for concepts."""
     nodes, edges = _graph(spark, folder)

@@ -161,3 +161,45 @@ SYNTAX_CONCEPTS = {
     "super": "继承",
     "new": "对象",
 }
+#: Terms that name one entity, replaced one after the other in this order before concepts are looked for.
+ENTITY_TERMS = (
+    ("OOP", "面向对象编程"),
+    ("面向对象", "面向对象编程"),
+    ("面向对象程序设计", "面向对象编程"),
+    ("ProgrammingParadigm", "面向对象编程"),
+    ("object-oriented programming", "面向对象编程"),
+    ("class", "类"),
+    ("object", "对象"),
+    ("method", "方法"),
+    ("field", "属性"),
+    ("member variable", "属性"),
+    ("constructor", "构造方法"),
+    ("inheritance", "继承"),
+    ("polymorphism", "多态"),
+    ("encapsulation", "封装"),
+    ("interface", "接口"),
+)
+#: The schema of what rules extract from chunks; examples are heads here.
+EXTRACTED_TYPES = ("ProgrammingParadigm", "OOPConcept", "SyntaxRule", "CodeStructure", "CodeExample", "ProgrammingLanguage", "Exercise", "Skill", "ErrorPattern")
+EXTRACTED_SCHEMA = {
+    "belongs_to_paradigm": (("OOPConcept", "SyntaxRule", "CodeStructure"), ("ProgrammingParadigm",)),
+    "part_of": (("OOPConcept", "SyntaxRule", "CodeStructure"), ("OOPConcept", "CodeStructure")),
+    "prerequisite_of": (("OOPConcept",), ("OOPConcept",)),
+    "implemented_in": (("ProgrammingParadigm", "OOPConcept", "SyntaxRule", "CodeStructure"), ("ProgrammingLanguage",)),
+    "has_syntax": (("OOPConcept",), ("SyntaxRule",)),
+    "expresses_concept": (("SyntaxRule",), ("OOPConcept",)),
+    "has_code_structure": (("OOPConcept",), ("CodeStructure",)),
+    "demonstrates": (("CodeExample",), ("OOPConcept",)),
+    "uses_syntax": (("CodeExample",), ("SyntaxRule",)),
+    "contains_structure": (("CodeExample",), ("CodeStructure",)),
+    "assesses": (("Exercise",), ("OOPConcept", "Skill")),
+    "requires_skill": (("OOPConcept", "Exercise", "CodeExample"), ("Skill",)),
+    "may_cause": (("OOPConcept", "Skill"), ("ErrorPattern",)),
+    "confused_with": (("OOPConcept", "SyntaxRule"), ("OOPConcept", "SyntaxRule")),
+    "equivalent_to": (EXTRACTED_TYPES, EXTRACTED_TYPES),
+    "differs_from": (("OOPConcept", "SyntaxRule", "ProgrammingLanguage"), ("OOPConcept", "SyntaxRule", "ProgrammingLanguage")),
+    "inherits_from": (("CodeStructure",), ("CodeStructure",)),
+    "implements_interface": (("CodeStructure",), ("CodeStructure",)),
+}
+#: Names whose type is given whatever was said of them.
+FORCED_TYPES = {**{c: "OOPConcept" for c in CONCEPTS}, "面向对象编程": "ProgrammingParadigm", "Alan Kay的OOP五大原则": "OOPConcept", "OOP五大原则": "OOPConcept", "Java对象": "OOPConcept"}
