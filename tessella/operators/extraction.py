@@ -191,9 +191,14 @@ def completed_entities(entities: DataFrame, relations: DataFrame, least: float =
     return new.groupBy("name", "type").agg(F.greatest(F.lit(least), F.max("confidence") - 0.05).alias("confidence"))
 
 
+def scored_entities(rows: DataFrame) -> DataFrame:
+    """Entities with their adjusted confidence as ``score``."""
+    return fixed(rows, score=adjusted_confidence(F.col("confidence"), F.col("evidence"), F.col("content"), 0.72))
+
+
 def merged_entities(rows: DataFrame, least: float = 0.55) -> DataFrame:
     """Entities by (name, type): greatest adjusted confidence and number of chunks; those below ``least`` are left out."""
-    scored = fixed(rows, score=adjusted_confidence(F.col("confidence"), F.col("evidence"), F.col("content"), 0.72)).where(F.col("score") >= least)
+    scored = scored_entities(rows).where(F.col("score") >= least)
     return scored.groupBy("name", "type").agg(F.max("score").alias("confidence"), F.countDistinct("chunk_id").alias("chunks")).withColumn("id", hash_id("ent", F.col("type"), F.col("name")))
 
 

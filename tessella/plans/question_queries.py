@@ -80,12 +80,14 @@ def a10_counts(spark, folder):
     return rows.select(F.inline(each)).groupBy("kind", "value").agg(F.count("*").alias("n"))
 
 
-_LINKED = """known AS (SELECT name, arg_max(id, ord) AS id FROM n WHERE type IN ('KnowledgePoint', 'KnowledgeUnit', 'SyntaxRule', 'ProgrammingLanguage') AND trim(coalesce(name, '')) <> '' GROUP BY name),
+_KEYWORDS = ", ".join(f"('{n}', '{k}')" for k, ns in q.KEYWORDS.items() for n in ns)
+_LINKED = f"""known AS (SELECT name, arg_max(id, ord) AS id FROM n WHERE type IN ('KnowledgePoint', 'KnowledgeUnit', 'SyntaxRule', 'ProgrammingLanguage') AND trim(coalesce(name, '')) <> '' GROUP BY name),
 al AS (SELECT DISTINCT nr.nid AS id, trim(a) AS a FROM (SELECT nid, unnest(aliases) AS a FROM nr) nr WHERE trim(coalesce(a, '')) <> ''),
-ph AS (SELECT name, id, lower(trim(name)) AS p FROM known UNION ALL SELECT k.name, k.id, lower(a) FROM known k JOIN al USING (id)),
+kw AS (SELECT * FROM (VALUES {_KEYWORDS}) kw(name, p)),
+ph AS (SELECT name, id, lower(trim(name)) AS p, 3.0::DOUBLE AS pt, 0 AS rk, '名称：' || name AS why FROM known UNION ALL SELECT k.name, k.id, lower(a), 3.0, 0, '名称：' || a FROM known k JOIN al USING (id) UNION ALL SELECT k.name, k.id, lower(kw.p), 2.0, 1, '特征：' || kw.p FROM known k JOIN kw ON kw.name = k.name),
 qt AS (SELECT question_id, lower(concat_ws(chr(10), nullif(stem, ''), nullif(code, ''), nullif(answer, ''), nullif(analysis, ''), nullif(array_to_string(options, ' '), ''))) AS t FROM qq),
-direct AS (SELECT question_id, name, id, count(*) * 3.0::DOUBLE AS score FROM qt JOIN ph ON contains(t, p) GROUP BY ALL),
-beside AS (SELECT DISTINCT d.question_id, k.name, k.id, 0.8::DOUBLE AS score FROM direct d JOIN adj ON adj.id = d.id JOIN known k ON k.id = adj.neighbour WHERE NOT EXISTS (SELECT 1 FROM direct x WHERE x.question_id = d.question_id AND x.name = k.name)),
+direct AS (SELECT question_id, name, id, sum(pt) AS score, array_to_string(list_transform(list_sort(list_distinct(list({{'r': rk, 'w': why}})))[1:5], lambda x: x.w), '|') AS evidence FROM qt JOIN ph ON contains(t, p) GROUP BY question_id, name, id),
+beside AS (SELECT d.question_id, k.name, k.id, 0.8::DOUBLE AS score, '邻居：' || min(d.name) AS evidence FROM direct d JOIN adj ON adj.id = d.id JOIN known k ON k.id = adj.neighbour WHERE NOT EXISTS (SELECT 1 FROM direct x WHERE x.question_id = d.question_id AND x.name = k.name) GROUP BY d.question_id, k.name, k.id),
 cand AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, name) AS place FROM (SELECT * FROM direct UNION ALL SELECT * FROM beside)),
 link AS (SELECT question_id, name, id, CASE WHEN place <= 2 AND score >= 3 THEN 'primary' ELSE 'secondary' END AS role, round_even(least(0.95, 0.45 + score / 8), 3) AS confidence, place FROM cand WHERE place <= 5 AND (score >= 3 OR place = 1))
 """
@@ -100,14 +102,14 @@ def _links(spark, folder):
     return q.rule_links(_candidates(spark, folder))
 
 
-@query("j6_candidates", f"{KG}, {QQ}, {_LINKED} SELECT question_id, name, id, score, place FROM cand WHERE place <= 12")
+@query("j6_candidates", f"{KG}, {QQ}, {_LINKED} SELECT question_id, name, id, score, evidence, place FROM cand WHERE place <= 12")
 def j6_candidates(spark, folder):
-    return _candidates(spark, folder).select("question_id", "name", "id", "score", F.col("place").cast("bigint").alias("place"))
+    return _candidates(spark, folder).select("question_id", "name", "id", "score", F.array_join("evidence", "|").alias("evidence"), F.col("place").cast("bigint").alias("place"))
 
 
 @query("w7_links", f"{KG}, {QQ}, {_LINKED} SELECT * FROM link")
 def w7_links(spark, folder):
-    return _links(spark, folder).withColumn("place", F.col("place").cast("bigint"))
+    return _links(spark, folder).drop("evidence").withColumn("place", F.col("place").cast("bigint"))
 
 
 @query("a11_mapping_report", f"{KG}, {QQ}, {_LINKED} SELECT (SELECT count(*) FROM qq) AS questions, (SELECT count(*) FROM link) AS links, (SELECT count(*) FROM link WHERE role = 'primary') AS primary_links, (SELECT count(*) FROM qq WHERE question_id NOT IN (SELECT question_id FROM link)) AS unmapped")
