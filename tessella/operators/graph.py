@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessella.functions.coerce import distinct_texts, first_text, strength, text
-from tessella.vocabulary import EDGE_LABELS, EXAMPLE_PRIORITY, EXPANDABLE_TYPES, RELATION_SCHEMA, SHOWN_EDGE_TYPES, SHOWN_NODE_TYPES, SUPPORT_RELATIONS, SUPPORT_TYPES
+from tessella.vocabulary import EDGE_LABELS, EXAMPLE_PRIORITY, EXPANDABLE_TYPES, LABEL_OVERRIDES, RELATION_SCHEMA, SHOWN_EDGE_TYPES, SHOWN_NODE_TYPES, SUPPORT_RELATIONS, SUPPORT_TYPES
 
 
 def node_id(raw: Column) -> Column:
@@ -229,15 +229,28 @@ def mapped(value: Column, groups: dict[str, tuple[str, ...]], other: str) -> Col
     return out
 
 
-def node_label(nodes_type: Column, name: Column, id: Column, description: Column) -> Column:
-    """The label shown: examples with machine-made or long names take their description or the name's end."""
+def node_label(nodes_type: Column, name: Column, id: Column, description: Column, source_file: Column | None = None, page: Column | None = None, overrides: dict[str, str] | None = None) -> Column:
+    """The label shown: an override by id, else the name, else the id.
+
+    Examples with machine-made or long names take their description, else the
+    stem of their first source and its page, else the name's end.
+    """
     label = first_text(name, id)
     example = (nodes_type == "CodeExample") & (F.lower(label).startswith("codeexample") | (F.char_length(label) > 28))
     about = text(description)
     useful = (about != "") & ~about.isin("教学材料中的代码示例", "代码示例")
     told = F.concat(F.lit("示例 · "), F.substring(about, 1, 18), F.when(F.char_length(about) > 18, "…").otherwise(""))
     tail = F.concat(F.lit("代码示例 · "), F.right(label, F.lit(10)))
-    return F.when(example & useful, told).when(example, tail).otherwise(label)
+    out = F.when(example & useful, told)
+    if source_file is not None:
+        file = text(source_file)
+        stem = F.substring(F.regexp_replace(file, r"(?<=.)\.[^.]*$", ""), 1, 14)
+        place = F.when(page.isNotNull(), F.concat(F.lit(" · P"), page.cast("string"))).otherwise("") if page is not None else F.lit("")
+        out = out.when(example & (file != ""), F.concat(F.lit("示例 · "), stem, place))
+    out = out.when(example, tail).otherwise(label)
+    for key, shown in (overrides or {}).items():
+        out = F.when(id == key, shown).otherwise(out)
+    return out
 
 
 def shown_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -257,6 +270,45 @@ def shown_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def full_shown_nodes(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """The whole projection of nodes for a view, from the rows before merging.
+
+    Sources are those of the first row of a node that has any; fields that the
+    tables don't hold have their defaults (difficulty 知识点, no lists, 0).
+    """
+    nodes = graph_nodes(rows)
+    keyed = rows.select(node_id(F.col("id")).alias("id"), "row_id", "aliases", "source_chunk_ids", "sources").where("id <> ''")
+    has = lambda c: F.when(F.size(c) > 0, F.col("row_id"))
+    first = keyed.groupBy("id").agg(
+        F.min_by(F.get("sources", F.lit(0)), has("sources")).alias("source"),
+        F.min_by(F.size("source_chunk_ids"), has("source_chunk_ids")).alias("n_chunks"),
+        F.min_by(F.size("sources"), has("sources")).alias("n_sources"),
+        F.min_by("aliases", has("aliases")).alias("aliases"),
+    )
+    wide = nodes.join(first, "id", "left").join(degrees(edges), "id", "left")
+    degree = F.coalesce("degree", F.lit(0))
+    none = F.array().cast("array<string>")
+    return wide.select(
+        "id",
+        node_label(F.col("type"), F.col("name"), F.col("id"), F.col("description"), F.col("source.source_file"), F.col("source.page"), LABEL_OVERRIDES).alias("label"),
+        mapped(F.col("type"), SHOWN_NODE_TYPES, "concept").alias("shown_type"),
+        F.col("type").alias("source_type"),
+        F.lit("知识点").alias("difficulty"),
+        (54 + F.least(degree, F.lit(8)) * 5).alias("size"),
+        F.col("confidence").alias("mastery"),
+        "confidence",
+        degree.alias("relation_count"),
+        F.coalesce("n_chunks", "n_sources", F.lit(0)).alias("source_count"),
+        distinct_texts(F.col("aliases")).alias("aliases"),
+        text(F.col("description")).alias("summary"),
+        none.alias("prerequisites"),
+        none.alias("outcomes"),
+        F.lit(0).alias("exercises"),
+        F.when(F.col("type").isin(*EXPANDABLE_TYPES), F.col("id")).alias("children"),
+        F.lit(False).alias("system_node"),
+    )
+
+
 def shown_edges(edges: DataFrame) -> DataFrame:
     """The projection of edges for a view; part_of turns to point from whole to part."""
     part = F.col("type") == "part_of"

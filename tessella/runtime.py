@@ -19,9 +19,14 @@ SCRATCH_KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's shared scratch folder; a local one is made only if unset."""
+    """The session's shared scratch folder; a local one is made only if unset and all runs on this machine.
+
+    On a cluster an executor would write to its own disk, so there the setting is required.
+    """
     folder = spark.conf.get(SCRATCH_KEY, None) or spark.sparkContext.getConf().get(SCRATCH_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SCRATCH_KEY} must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set(SCRATCH_KEY, folder)
     return folder.rstrip("/")

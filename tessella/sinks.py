@@ -51,6 +51,41 @@ def edge_statements(edges: DataFrame) -> DataFrame:
     return edges.select("id", F.concat(match("source"), match("target"), merge).alias("statement"))
 
 
+def graph_script(nodes: DataFrame, edges: DataFrame, aliases: DataFrame, wipe: bool = False) -> DataFrame:
+    """(step, id, statement): the whole import: a constraint, an optional wipe, nodes, edges; each may be run again."""
+    first = ["CREATE CONSTRAINT knowledge_node_id IF NOT EXISTS FOR (n:KnowledgeNode) REQUIRE n.id IS UNIQUE;"] + ["MATCH (n:KnowledgeNode) DETACH DELETE n;"] * wipe
+    head = nodes.sparkSession.createDataFrame([(i, "", s) for i, s in enumerate(first)], "step int, id string, statement string")
+    part = lambda df, step: df.select(F.lit(step).alias("step"), "id", "statement")
+    return head.unionByName(part(node_statements(nodes, aliases), 2)).unionByName(part(edge_statements(edges), 3))
+
+
+def localized_edge_statements(edges: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One statement per edge whose relation bears its shown name, with code and name as properties; names with other letters are quoted."""
+    shown = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), F.col("type")), F.col("type"))
+    quoted_name = F.concat(F.lit("`"), F.replace(shown, F.lit("`"), F.lit("")), F.lit("`"))
+    match = lambda side: F.concat(F.lit(f"MATCH ({side}:KnowledgeNode {{id: "), quoted(F.col(side)), F.lit("})\n"))
+    tail = F.concat(F.lit("MERGE (source)-[r:"), quoted_name, F.lit(" {id: "), quoted(F.col("id")), F.lit("}]->(target)\nSET r.relation_code = "), quoted(F.col("type")), F.lit(", r.relation_name = "), quoted(shown), F.lit(";"))
+    return edges.select("id", F.concat(match("source"), match("target"), tail).alias("statement"))
+
+
+def question_statements(questions: DataFrame, links: DataFrame) -> DataFrame:
+    """(step, id, statement): constraints, question nodes, links to type, difficulty and abilities, links to knowledge."""
+    kinds = ("Question", "QuestionType", "Difficulty", "QuestionAbility")
+    head = questions.sparkSession.createDataFrame([(0, k, f"CREATE CONSTRAINT {k.lower()}_id IF NOT EXISTS FOR (n:{k}) REQUIRE n.id IS UNIQUE;") for k in kinds], "step int, id string, statement string")
+    own = questions.select(F.lit(1).alias("step"), F.col("question_id").alias("id"), F.concat(F.lit("MERGE (q:Question {id: "), quoted(F.col("question_id")), F.lit("})\nSET q.stem = "), quoted(F.col("stem")), F.lit(";")).alias("statement"))
+    label = F.when(F.col("relation") == "HAS_TYPE", "QuestionType").when(F.col("relation") == "HAS_DIFFICULTY", "Difficulty").otherwise("QuestionAbility")
+    ends = question_edges(questions).select(F.lit(2).alias("step"), F.col("question_id").alias("id"), F.concat(F.lit("MATCH (q:Question {id: "), quoted(F.col("question_id")), F.lit("})\nMERGE (x:"), label, F.lit(" {id: "), quoted(F.col("value")), F.lit("})\nMERGE (q)-[:"), F.col("relation"), F.lit("]->(x);")).alias("statement"))
+    name = F.concat(F.lit("question_link_"), "question_id", F.lit("_"), "id")
+    asks = links.select(F.lit(3).alias("step"), name.alias("id"), F.concat(F.lit("MATCH (q:Question {id: "), quoted(F.col("question_id")), F.lit("})\nMATCH (k:KnowledgeNode {id: "), quoted(F.col("id")), F.lit("})\nMERGE (q)-[r:ASSESSES {id: "), quoted(name), F.lit("}]->(k)\nSET r.role = "), quoted(F.col("role")), F.lit(";")).alias("statement"))
+    return head.unionByName(own).unionByName(ends).unionByName(asks)
+
+
+def write_records(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Rows as JSON lines, in order of ``order`` if given, swapped in when complete; nulls are written too."""
+    rows = df.orderBy(*order) if order else df
+    write_swapped(rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")), path, "text")
+
+
 def question_edges(questions: DataFrame) -> DataFrame:
     """(question_id, relation, value): type, difficulty and abilities of each question as links."""
     one = lambda relation, value: F.array(F.struct(F.lit(relation).alias("relation"), value.cast("string").alias("value")))

@@ -48,6 +48,21 @@ EDGE_LABELS = {
     "contains": "包含",
     "contains_structure": "包含代码结构",
     "has_code_structure": "具有代码结构",
+    "has_algorithm": "包含算法",
+    "has_algorithm_problem": "包含算法问题",
+    "has_algorithm_strategy": "包含算法策略",
+    "has_complexity_metric": "具有复杂度指标",
+    "has_concurrency_mechanism": "具有并发机制",
+    "has_control_structure": "具有控制结构",
+    "has_core_concept": "具有核心概念",
+    "maps_to_core": "映射到核心概念",
+    "has_core_feature": "具有核心特性",
+    "has_data_structure": "具有数据结构",
+    "has_engineering_practice": "具有工程实践",
+    "has_error_handling": "具有异常处理机制",
+    "has_implementation_mechanism": "具有实现机制",
+    "has_operation_rule": "具有操作规则",
+    "has_persistence_mechanism": "具有持久化机制",
     "demonstrates": "演示知识",
     "has_code_example": "示例代码",
     "appears_in_example": "出现于示例",
@@ -67,6 +82,11 @@ EDGE_LABELS = {
     "confused_with": "易与其混淆",
     "equivalent_to": "等价于",
     "differs_from": "区别于",
+    "built_on_platform": "构建于平台",
+    "develops_ability": "培养能力",
+    "solves_problem": "解决问题",
+    "supports_language": "支持语言",
+    "uses_strategy": "采用策略",
 }
 #: Node types whose view can be opened.
 EXPANDABLE_TYPES = ("Course", "KnowledgeDomain", "KnowledgeUnit", "KnowledgePoint", "AlgorithmStrategy", "OOPConcept")
@@ -203,3 +223,12 @@ EXTRACTED_SCHEMA = {
 }
 #: Names whose type is given whatever was said of them.
 FORCED_TYPES = {**{c: "OOPConcept" for c in CONCEPTS}, "面向对象编程": "ProgrammingParadigm", "Alan Kay的OOP五大原则": "OOPConcept", "OOP五大原则": "OOPConcept", "Java对象": "OOPConcept"}
+#: Labels of single nodes, whatever their name.
+LABEL_OVERRIDES = {
+    "course_python": "python",
+    "course_java": "java",
+    "course_cpp": "c++",
+    "course_data_structures": "数据结构",
+    "course_uml": "uml建模设计与分析",
+    "curriculum_l11_1": "数据流模型",
+}
