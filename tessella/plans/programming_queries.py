@@ -118,7 +118,7 @@ _RING = "SELECT k.id, {2} AS layer, angle + CASE WHEN sz = 1 THEN 0.0 ELSE (CASE
 
 @query(
     "c14_positions",
-    KG + _PARTS + ", ra AS (SELECT id, -pi() / 2 + (row_number() OVER (ORDER BY id) - 1) * (2 * pi() / count(*) OVER ()) AS angle, count(*) OVER () AS nr FROM r1), ps AS (SELECT id, 1 AS layer, angle AS a, 250.0::DOUBLE AS r FROM ra UNION ALL " + _RING.format("s2", "[500, 440, 555]", 2) + " UNION ALL " + _RING.format("s3", "[785, 740, 840]", 3) + ") SELECT id, layer, round(cos(a) * r, 1) AS x, round(sin(a) * r, 1) AS y FROM ps",
+    KG + _PARTS + ", ra AS (SELECT id, -pi() / 2 + (row_number() OVER (ORDER BY id) - 1) * (2 * pi() / count(*) OVER ()) AS angle, count(*) OVER () AS nr FROM r1), ps AS (SELECT id, 1 AS layer, angle AS a, 250.0::DOUBLE AS r FROM ra UNION ALL " + _RING.format("s2", "[500, 440, 555]", 2) + " UNION ALL " + _RING.format("s3", "[785, 740, 840]", 3) + ") SELECT id, layer, round(round(cos(a) * r, 2), 1) AS x, round(round(sin(a) * r, 2), 1) AS y FROM ps",
 )
 def c14_positions(spark, folder):
     """Where domains, their units and what is part of those stand in the overview; to one decimal, as cosines differ in the last."""
