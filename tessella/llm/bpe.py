@@ -52,6 +52,7 @@ class BytePairEncoder:
             model = json.load(f)
         vocab = model["model"]["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+        self.vocabulary: dict[str, int] = vocab
         symbols = byte_symbols()
         self.byte_id = np.zeros(256, np.int32)
         for s, b in symbols.items():
@@ -79,6 +80,13 @@ class BytePairEncoder:
             shift += 1
         self.probes = shift
 
+    def text_of(self, ids: list[int]) -> str:
+        """What ids stand for; bytes that are no UTF-8 are replaced."""
+        if not hasattr(self, "bytes_of"):
+            symbols = byte_symbols()
+            self.bytes_of = {i: bytes(symbols[c] for c in s) for s, i in self.vocabulary.items() if all(c in symbols for c in s)}
+        return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
+
     def slots(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -260,3 +268,15 @@ def encode_corpus(df: DataFrame, key: str, text: str, folder: str = DEFAULT_FOLD
 
     out = source.mapInArrow(run, ("key bigint, ids int" if count_only else "key bigint, ids array<int>") + more)
     return out.select(F.col("key").alias(key), F.col("ids").alias("n_tokens" if count_only else "ids"), *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)))
+
+
+def decode_corpus(df: DataFrame, key: str, ids: str, folder: str = DEFAULT_FOLDER, name: str = DEFAULT_NAME) -> DataFrame:
+    """(key, text): the texts that lists of ids stand for; null and empty lists give an empty text."""
+    source = df.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = encoder(folder, name)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([tool.text_of(x or []) for x in batch.column(1).to_pylist()], pa.string())], names=["key", "text"])
+
+    return source.mapInArrow(run, f"key {source.schema['key'].dataType.simpleString()}, text string").withColumnRenamed("key", key)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessella.llm.bpe import encode_corpus
+from tessella.llm.bpe import decode_corpus, encode_corpus
 from tessella.llm.canonical import link_mentions
 from tessella.llm.components import components, entity_links
 from tessella.llm.garbled import find_garbled
-from tessella.llm.mixing import mixture
+from tessella.llm.mixing import mixture, source_name
 from tessella.llm.nearcopies import near_groups, near_items, near_pairs
 from tessella.llm.scans import repair_scans, scan_items, scan_noise, word_list
 from tessella.llm.splitting import split_texts, text_cuts
@@ -215,6 +215,15 @@ def p8_ids(spark, folder):
     return encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def p8_round_trip(spark, folder):
+    """What the ids of every document stand for; it must be the document's text."""
+    ids = encode_corpus(table(spark, folder, "documents"), "doc_id", "text").dropDuplicates(["doc_id"])
+    back = decode_corpus(ids, "doc_id", "ids")
+    return back.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+P8_SQL = "SELECT DISTINCT doc_id, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS digest FROM documents"
+
 # ------------------------------------------------------------------ problem 9
 
 
@@ -228,6 +237,22 @@ def p9_shares(spark, folder):
     return mixture(table(spark, folder, "documents"), table(spark, folder, "source_targets"))[1]
 
 
+def p9_checks(spark, folder):
+    """Of each source that can be served: whether it keeps its cap, and its share to within its largest document; counted anew from the mixture."""
+    mixed = p9_mix(spark, folder)
+    sizes = encode_corpus(table(spark, folder, "documents"), "doc_id", "text", count_only=True).groupBy("doc_id").agg(F.max("n_tokens").alias("size"))
+    targets = table(spark, folder, "source_targets").select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats")
+    rows = mixed.select("doc_id", "source", "repeats").join(sizes, "doc_id")
+    taken = rows.groupBy("source").agg(F.sum(F.col("size").cast("bigint") * F.col("repeats")).alias("tokens"), F.max("repeats").alias("most"), F.max("size").alias("largest"), F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"))
+    joined = taken.join(targets, "source")
+    sums = joined.agg(F.sum("tokens").alias("all"), F.sum("target_share").alias("served"))
+    off = F.abs(F.col("tokens") / F.col("all") - F.col("target_share") / F.col("served"))
+    return joined.crossJoin(sums).select("source", ((F.col("most") <= F.col("max_repeats")) & (F.col("n") == F.col("docs"))).alias("capped"), (off <= F.col("largest") / F.col("all")).alias("shared"))
+
+
+_SOURCE = "regexp_replace(regexp_replace(lower(source), '^[\\s\\x{3000}]+|[\\s\\x{3000}]+$', '', 'g'), '[\\s\\-\\x{3000}]+', '_', 'g')"
+P9_SQL = f"SELECT DISTINCT t.source, true AS capped, true AS shared FROM (SELECT {_SOURCE} AS source FROM source_targets WHERE target_share > 0 AND max_repeats > 0) t JOIN (SELECT {_SOURCE} AS source FROM documents WHERE text <> '') d USING (source)"
+
 # ----------------------------------------------------------------- problem 10
 
 
@@ -241,5 +266,5 @@ def p10_restored(spark, folder):
     return find_garbled(table(spark, folder, "documents"), "doc_id", "text").where("garbled").select("doc_id", "restored", "text")
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_invariants": p1_invariants, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
-SQL = {"p7_found": P7_SQL, "p1_found": P1_SQL, "p1_invariants": P1_INVARIANTS_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}
+QUERIES = {"p9_mix": p9_mix, "p9_checks": p9_checks, "p8_round_trip": p8_round_trip, "p9_shares": p9_shares, "p7_found": p7_found, "p7_groups": p7_groups, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p10_found": p10_found, "p10_restored": p10_restored, "p1_found": p1_found, "p1_pieces": p1_pieces, "p1_invariants": p1_invariants, "p3_found": p3_found, "p4_found": p4_found, "p4_consensus": p4_consensus, "p8_ids": p8_ids}
+SQL = {"p8_round_trip": P8_SQL, "p9_checks": P9_SQL, "p7_found": P7_SQL, "p1_found": P1_SQL, "p1_invariants": P1_INVARIANTS_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL}

@@ -38,3 +38,12 @@ def test_operator(spark):
     counts = {r.doc_id: r.n_tokens for r in encode_corpus(df, "doc_id", "text", count_only=True).collect()}
     assert counts == {i: len(v) for i, v in got.items()}
     assert encode_corpus(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_ids_decode_to_the_text(spark):
+    from tessella.llm.bpe import decode_corpus, encode_corpus
+
+    texts = ["", None, "for (int i = 0;)", "索引树 👩🏽‍💻\n\t", "<|endoftext|>", "x" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in decode_corpus(encode_corpus(df, "doc_id", "text"), "doc_id", "ids").collect()}
+    assert got == {i: t or "" for i, t in enumerate(texts)}
