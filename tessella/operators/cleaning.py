@@ -156,8 +156,9 @@ def preprocess(raw: DataFrame, page_score: int = 3, chunk_score: int = 3) -> Dat
     Rows delivered twice count once (by doc_key).  One plan, no shuffle but
     that of the deduplication, no Python.
     """
-    once = raw.dropDuplicates(["doc_key"])
-    cleaned = fixed(once, cleaned=clean_text(F.col("raw_text"))).where((F.col("cleaned") != "") & (relevance(F.col("cleaned")) >= page_score))
+    read = fixed(raw.select("doc_key", "source_file", "source_type", "page", "question_id", "title", "raw_text"), cleaned=clean_text(F.col("raw_text")))
+    # Only pages that stay are shuffled, and only their cleaned text.
+    cleaned = read.where((F.col("cleaned") != "") & (relevance(F.col("cleaned")) >= page_score)).drop("raw_text").dropDuplicates(["doc_key"])
     cut = cleaned.select("doc_key", "source_file", "source_type", "page", "question_id", "title", F.posexplode(chunk_texts(F.col("cleaned"), F.col("source_type"))).alias("at", "content"))
     kept = fixed(cut, keywords=matched_keywords(F.col("content"))).where((F.size("keywords") > 0) & (relevance(F.col("content")) >= F.when(F.col("source_type") == "exercise", 2).otherwise(chunk_score)))
     asked = text(F.col("question_id"))

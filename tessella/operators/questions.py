@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tessella.functions.coerce import distinct_texts, safe_int, text
 from tessella.operators.graph import adjacency
 from tessella.operators.matching import containing
+from tessella.runtime import Scratch
 from tessella.vocabulary import DIFFICULTIES, QUESTION_TYPES
 
 #: Node types that questions are linked to.
@@ -134,17 +135,21 @@ def scored(questions: DataFrame, nodes: DataFrame, aliases: DataFrame, edges: Da
     lists the five first reasons: names, then keywords, then the neighbour.
     """
     keywords = KEYWORDS if keywords is None else keywords
-    known = linkable(nodes)
+    scratch = Scratch(questions.sparkSession, "scored")
+    known = scratch.write(linkable(nodes), "known")
     named = known.select("name", "id", F.col("name").alias("shown")).unionByName(known.join(aliases, "id").select("name", "id", F.col("alias").alias("shown")))
     phrases = named.select("name", "id", F.lower(text(F.col("shown"))).alias("phrase"), F.lit(3.0).alias("points"), F.concat(F.lit("名称："), "shown").alias("reason"), F.lit(0).alias("rank")).where("phrase <> ''")
     if keywords:
         rules = questions.sparkSession.createDataFrame([(n, k.lower(), f"特征：{k}") for k, ns in keywords.items() for n in ns], "name string, phrase string, reason string")
         rules = known.select("name", "id").join(F.broadcast(rules), "name").select("name", "id", "phrase", F.lit(2.0).alias("points"), "reason", F.lit(1).alias("rank"))
         phrases = phrases.unionByName(rules)
+    phrases = scratch.write(phrases, "phrases")
     texts = questions.select("question_id", F.lower(search_text(questions)).alias("text"))
     hits = containing(texts, "question_id", "text", phrases, "phrase").join(phrases, "phrase")
     reasons = lambda: F.transform(F.slice(F.array_sort(F.collect_set(F.struct("rank", "reason"))), 1, 5), lambda r: r["reason"])
     direct = hits.groupBy("question_id", "name", "id").agg(F.sum("points").alias("score"), reasons().alias("evidence"))
+    # What was found is read thrice below; the texts are searched once.
+    direct = scratch.write(direct, "direct")
     near = direct.select("question_id", F.col("id").alias("from"), F.col("name").alias("via")).join(adjacency(edges).select(F.col("id").alias("from"), F.col("neighbour").alias("id")), "from").groupBy("question_id", "id").agg(F.min("via").alias("via"))
     beside = near.join(known.select("id", "name"), "id").join(direct.select("question_id", "name"), ["question_id", "name"], "left_anti").select("question_id", "name", "id", F.lit(0.8).alias("score"), F.array(F.concat(F.lit("邻居："), "via")).alias("evidence"))
     return direct.unionByName(beside)
