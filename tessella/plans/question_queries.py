@@ -314,7 +314,12 @@ def k4_edge_statements(spark, folder):
     return sinks.edge_statements(_graph(spark, folder)[1])
 
 
-@query("k4_node_statements")
+@query(
+    "k4_node_statements",
+    KG
+    + f""", al AS (SELECT id, list_sort(list(DISTINCT a)) AS ls FROM (SELECT lower(trim(id)) AS id, {_t("a")} AS a FROM (SELECT id, unnest(aliases) AS a FROM standard_nodes)) WHERE id <> '' AND a <> '' GROUP BY id)
+SELECT n.id, 'MERGE (n:KnowledgeNode:' || regexp_replace({_t("type")}, '[^A-Za-z0-9_]', '_', 'g') || ' {{id: ' || to_json(n.id) || '}})' || chr(10) || 'SET n += {{name: ' || to_json(coalesce(n.name, '')) || ', type: ' || to_json(coalesce(n.type, '')) || ', aliases: [' || coalesce(array_to_string(list_transform(ls, lambda x: to_json(x)), ', '), '') || ']}};' AS statement FROM n LEFT JOIN al USING (id)""",
+)
 def k4_node_statements(spark, folder):
     """One import statement per node."""
     return sinks.node_statements(_graph(spark, folder)[0], g.node_aliases(table(spark, folder, "standard_nodes")))
