@@ -170,7 +170,17 @@ def m3_preprocess(spark, folder):
     return c.preprocess(table(spark, folder, "raw_documents")).withColumn("keywords", F.array_join("keywords", " "))
 
 
-@query("t4_chunks")
+@query(
+    "t4_chunks",
+    f"""WITH d AS (SELECT doc_key, source_type, {_CLEAN} AS cleaned FROM {RAW}),
+l AS (SELECT doc_key, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_key, string_split(cleaned, chr(10)) AS ls FROM d WHERE source_type IS DISTINCT FROM 'exercise')),
+m AS (SELECT doc_key, line, i, sum(CASE WHEN regexp_matches(line, '^([\\-*•]|\\d+[.)、]|[A-D][.)、])') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_key ORDER BY i) AS b FROM l WHERE line <> ''),
+g AS (SELECT doc_key, b, trim(string_agg(line, ' ' ORDER BY i)) AS block FROM m GROUP BY doc_key, b),
+p AS (SELECT doc_key, b, block, list_reduce(list_transform(list_filter(string_split(regexp_replace(block, '([。！？.!?])[\\s\\x0b]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''), lambda x: {{'done': []::VARCHAR[], 'open': x}}),
+  lambda a, x: CASE WHEN length(a.open) + length(x.open) > 420 AND a.open <> '' THEN {{'done': list_append(a.done, a.open), 'open': x.open}} ELSE {{'done': a.done, 'open': CASE WHEN a.open = '' THEN x.open ELSE a.open || ' ' || x.open END}} END) AS f FROM g WHERE block <> ''),
+c AS (SELECT doc_key, b, unnest(cs) AS content, generate_subscripts(cs, 1) AS j FROM (SELECT doc_key, b, CASE WHEN length(block) <= 420 THEN [block] ELSE list_append(f.done, f.open) END AS cs FROM p) UNION ALL SELECT doc_key, 0, cleaned, 1 FROM d WHERE source_type = 'exercise')
+SELECT doc_key, row_number() OVER (PARTITION BY doc_key ORDER BY b, j) - 1 AS chunk_no, trim(content) AS content FROM c WHERE length(trim(content)) >= 8""",
+)
 def t4_chunks(spark, folder):
     """Chunks of every text, before any filter."""
     rows = _raw(spark, folder).select("doc_key", "source_type", c.clean_text(F.col("raw_text")).alias("cleaned"))
