@@ -2,18 +2,21 @@
 
 
 
+import itertools
+import math
 import unicodedata
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from tessella.functions.coerce import fingerprint, safe_float, text
 from tessella.operators.graph import graph_edges, graph_nodes, node_id, with_endpoints
-from tessella.operators.matching import containing
 from tessella.runtime import Scratch, is_empty
 from tessella.vocabulary import NODE_TYPES, TYPE_ALIASES
 
@@ -139,40 +142,127 @@ def merged_aliases(entities: DataFrame, groups: DataFrame) -> DataFrame:
     return each.join(shown, "root").where(~normal_name(F.col("alias")).eqNullSafe(normal_name(F.col("name")))).select("root", "alias")
 
 
-@F.pandas_udf(DoubleType())
-def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+#: Pairs of names of at most so many characters are found by what is left when characters are dropped, others by groups of letters.
+WHOLE = 13
+
+
+def _apart(a: int, b: int, least: float) -> int:
+    """The most characters in no common block of two names of ``a`` and ``b`` characters at a ratio of ``least``; below ``|a - b|`` if they can't reach it."""
+    most = math.floor((1 - least) * (a + b) + 1e-9)
+    return most - (most - a - b) % 2
+
+
+def _drops(least: float) -> list[tuple[bool, int, int, list[list[tuple[int, int]]]]]:
+    """(longer, n, lengths, keeps): the pieces that names of ``n`` characters keep, as the longer or shorter ones of a pair of lengths."""
+    out = []
+    for low, high in itertools.combinations_with_replacement(range(1, WHOLE + 1), 2):
+        both = (low + high - _apart(low, high, least)) // 2
+        if 0 < both <= low and (low, both) != (high, high):
+            for longer, n in ((False, low), (True, high)):
+                gone = itertools.combinations(range(1, n + 1), n - both)
+                out.append((longer, n, low * 100 + high, [[(x + 1, y - x - 1) for x, y in itertools.pairwise((0, *g, n + 1)) if y - x > 1] for g in gone]))
+    return out
+
+
+def _near_whole(names: DataFrame, least: float) -> DataFrame:
+    """(type, left, right): pairs of names of at most ``WHOLE`` characters with enough characters in common, in order.
+
+    Common blocks in order are one common subsequence, so both names come to
+    the same string when the characters in no block are dropped.
+    """
+    plan = names.sparkSession.createDataFrame(_drops(least), "longer boolean, n int, lengths int, keeps array<array<struct<start:int,size:int>>>")
+    rest = F.transform("keeps", lambda keep: F.array_join(F.transform(keep, lambda k: F.substring("name", k["start"], k["size"])), ""))
+    keys = names.where(F.char_length("name") <= WHOLE).join(F.broadcast(plan), F.char_length("name") == F.col("n")).select("type", "name", "longer", "lengths", F.explode(F.array_distinct(rest)).alias("key"))
+    low, high = keys.where("NOT longer").select("type", "lengths", "key", F.col("name").alias("low")), keys.where("longer").select("type", "lengths", "key", F.col("name").alias("high"))
+    # Names of one length stand on both sides; one order of them is enough.
+    met = low.hint("merge").join(high, ["type", "lengths", "key"]).where("low < high OR char_length(low) < char_length(high)")
+    return met.select("type", F.least("low", "high").alias("left"), F.greatest("low", "high").alias("right"))
+
+
+def _near_long(names: DataFrame, least: float) -> DataFrame:
+    """(type, left, right): pairs with a name of more than ``WHOLE`` characters that share one of their rarest groups of letters.
+
+    T letters in both names, u of them in no block: at most u + 1 blocks, each
+    of which lacks ``size - 1`` groups, and u <= (1 - least) T.  So at least
+    ``shared`` groups are common, and a pair meets in one of the others or the
+    first of these, the groups taken from the rarest on.
+    """
+    fewest = (WHOLE + 1) * 2 / (2 - least)
+    growth = {size: least / 2 - (size - 1) * (1 - least) for size in (1, 2, 3)}
+    size = max(q for q in growth if q == 1 or fewest * growth[q] - (q - 1) >= 1)
+    n = F.char_length("name")
+    groups = F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substring("name", i, F.lit(size)))
+    # A group counts once per occurrence: its second one is another token.
+    marked = F.transform(groups, lambda x, i: F.concat(x, F.size(F.filter(F.slice(groups, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+    able = names.where((n >= size) & (n * (2 - least) >= (WHOLE + 1) * least - 1e-9))
+    tokens = able.select("type", "name", F.explode(marked).alias("token"))
+    rarity = tokens.groupBy("type", "token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("type", "name").orderBy("df", "token")
+    ranked = tokens.hint("merge").join(rarity, ["type", "token"]).withColumn("place", F.row_number().over(order))
+    shared = F.ceil(F.greatest(n * (2 / (2 - least)), F.lit(fewest)) * growth[size] - (size - 1) - 1e-9)
+    prefix = ranked.where(F.col("place") <= n - size + 2 - shared).select("type", "name", "token")
+    met = prefix.select("type", "token", F.col("name").alias("left")).hint("merge").join(prefix.select("type", "token", F.col("name").alias("right")), ["type", "token"]).where("left < right")
+    a, b = F.char_length("left"), F.char_length("right")
+    return met.where((F.greatest(a, b) > WHOLE) & (F.abs(a - b) <= (a + b) * (1 - least) + 1e-9)).select("type", "left", "right")
+
+
+def _inside(names: DataFrame, shortest: int, size: int = 4) -> DataFrame:
+    """(type, left, right): pairs of which one name, of more than ``shortest`` characters, stands in the other.
+
+    A name can only stand in those that hold its rarest group of ``size``
+    letters; one without such a group is looked up among all parts of its length.
+    """
+    n = F.char_length("name")
+
+    def parts(length: int) -> Column:
+        return F.when(n >= length, F.transform(F.sequence(F.lit(1), n - length + 1), lambda i: F.substring("name", i, F.lit(length)))).otherwise(F.array())
+
+    held = names.select("type", "name", F.explode(F.array_distinct(parts(size))).alias("part"))
+    rarity = held.groupBy("type", "part").agg(F.count("*").alias("df"))
+    rarest = held.hint("merge").join(rarity, ["type", "part"]).groupBy("type", "name").agg(F.min(F.struct("df", "part")).alias("r")).select("type", F.col("name").alias("inner"), "r.part")
+    met = rarest.where(F.char_length("inner") > shortest).hint("merge").join(held, ["type", "part"]).where((F.char_length("inner") < n) & F.contains("name", F.col("inner"))).select("type", "name", "inner")
+    short = names.where((n > shortest) & (n < size)).select("type", F.col("name").alias("inner"))
+    lengths = [r[0] for r in short.select(F.char_length("inner")).distinct().collect()]
+    if lengths:
+        all_parts = F.array_distinct(F.concat(*(parts(length) for length in lengths)))
+        met = met.unionByName(names.select("type", "name", F.explode(all_parts).alias("inner")).where("name <> inner").hint("merge").join(short, ["type", "inner"]).select("type", "name", "inner"))
+    return met.select("type", F.least("name", "inner").alias("left"), F.greatest("name", "inner").alias("right"))
+
+
+def similar_candidates(names: DataFrame, least: float, shortest: int) -> DataFrame:
+    """(type, left, right): the pairs of distinct (type, name) rows that ``similar_names`` compares in full."""
+    return _near_whole(names, least).unionByName(_near_long(names, least)).unionByName(_inside(names, shortest)).distinct()
+
+
+def _ratio(a: str, b: str) -> float:
     """The share of characters in common blocks, by longest blocks first."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
+    # The one in the other is the longest block; from 200 characters on frequent ones start no block.
+    if len(b) < 200 and (a in b or b in a):
+        return 2.0 * min(len(a), len(b)) / (len(a) + len(b))
+    return SequenceMatcher(None, a, b).ratio()
+
+
+def _rated(batches: Iterator[pa.RecordBatch], least: float, shortest: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        left, right = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        ratio = [_ratio(a, b) for a, b in zip(left, right)]
+        kept = [i for i, (a, b, x) in enumerate(zip(left, right, ratio)) if x >= least or min(len(a), len(b)) > shortest and (a in b or b in a)]
+        at = pa.array(kept, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array([ratio[i] for i in kept], pa.float64())], names=["type", "left", "right", "ratio"])
 
 
 def similar_names(entities: DataFrame, least: float = 0.88, shortest: int = 2) -> DataFrame:
     """(type, left, right, ratio): pairs of different fingerprints of a type that are nearly alike or one in the other.
 
-    No name is held against all others.  Two names at a ratio of ``least`` have
-    long common blocks, so of the pairs of neighbouring letters of either one
-    at least ``shared`` are common, and they meet in one of the rarest few,
-    which the candidates are joined on; containment has its own join.  Names
-    that differ in marks only are one fingerprint from the start.
+    No name is held against all others: short names meet in what is left when
+    characters are dropped, long ones in their rarest groups of letters, and
+    containment in the rarest group of the name inside.  The distinct names
+    are written once.
     """
     names = entities.select("type", fingerprint(F.col("name")).alias("name")).where("name <> '' AND type IS NOT NULL").distinct()
-    n = F.char_length("name")
-    pair = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring("name", i, F.lit(2)))
-    # A pair of letters counts once per occurrence: its second one is another token.
-    marked = F.transform(pair, lambda x, i: F.concat(x, F.size(F.filter(F.slice(pair, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
-    tokens = names.where(n > 1).select("type", "name", F.explode(marked).alias("token"))
-    rarity = tokens.groupBy("type", "token").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("type", "name").orderBy("df", "token")
-    ranked = tokens.join(rarity, ["type", "token"]).withColumn("place", F.row_number().over(order))
-    # T letters in both names, u of them in no block: 2 M = T - u, at most u + 1 blocks, u <= (1 - least) T, T >= n (1 + least / (2 - least)).
-    shared = F.greatest(F.lit(1), F.ceil(n * ((1.5 * least - 1) * (1 + least / (2 - least))) - 1 - 1e-9))
-    prefix = ranked.where(F.col("place") <= n - shared).select("type", "name", "token")
-    near = prefix.select("type", "token", F.col("name").alias("left")).join(prefix.select("type", "token", F.col("name").alias("right")), ["type", "token"]).where("left < right").select("type", "left", "right").distinct()
-    near = near.withColumn("ratio", matching_ratio("left", "right")).where(F.col("ratio") >= least)
-    inside = containing(names.select(F.concat("type", F.lit("\u0001"), "name").alias("id"), "name"), "id", "name", names.where(n > shortest), "name")
-    inside = inside.select(F.substring_index("id", "\u0001", 1).alias("type"), F.substring_index("id", "\u0001", -1).alias("whole"), F.col("phrase").alias("part")).where("whole <> part")
-    inside = inside.join(names.select("type", F.col("name").alias("part")), ["type", "part"], "left_semi").select("type", F.least("whole", "part").alias("left"), F.greatest("whole", "part").alias("right")).distinct()
-    rest = inside.join(near.select("type", "left", "right"), ["type", "left", "right"], "left_anti")
-    return near.unionByName(rest.withColumn("ratio", matching_ratio("left", "right"))).withColumn("ratio", F.round("ratio", 4))
+    names = Scratch(entities.sparkSession, "names").write(names, "names")
+    rated = similar_candidates(names, least, shortest).mapInArrow(lambda it: _rated(it, least, shortest), "type string, left string, right string, ratio double")
+    return rated.withColumn("ratio", F.round("ratio", 4))
 
 
 #: Spellings of names, compared in lower case; each stands for one name.

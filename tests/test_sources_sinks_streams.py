@@ -1,5 +1,7 @@
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessella import sinks, sources, streaming
@@ -79,3 +81,35 @@ def test_similar_names_equal_brute_force(spark):
                     want.add((kind, a, b))
     got = {(r.type, r.left, r.right) for r in resolution.similar_names(df).collect()}
     assert got == want and len(want) > 10
+
+
+def _alike(keys, least=0.88, shortest=2):
+    from difflib import SequenceMatcher
+
+    pairs = ((a, b) for a in keys for b in keys if a < b)
+    return {(a, b): x for a, b in pairs if (x := SequenceMatcher(None, a, b).ratio()) >= least or (a in b or b in a) and min(len(a), len(b)) > shortest}
+
+
+@pytest.mark.parametrize("least, shortest", [(0.88, 2), (0.93, 0), (0.88, 5), (0.75, 3)])
+def test_similar_names_of_all_lengths_equal_brute_force(spark, least, shortest):
+    dice = random.Random(f"{least} {shortest}")
+    keys = {"".join(dice.choices("abcd类型", k=n)) for n in (*range(1, 32), 60, 230)} | {"𠮷野家", "𠮷野家𠮷", "a" * 12, "a" * 13, "a" * 14, "0000012", "00000123"}
+    for name in sorted(keys) * 3:
+        letters = list(name)
+        for _ in range(dice.randint(1, 1 + len(letters) // 9)):
+            at = dice.randrange(len(letters) + 1)
+            letters[at : at + dice.randint(0, 1)] = dice.choices("abcd类型", k=dice.randint(0, 1))
+        keys |= {"".join(letters)} - {""}
+    rows = spark.createDataFrame([(i, "T", k) for i, k in enumerate(sorted(keys))], "raw_id long, type string, name string")
+    got = resolution.similar_names(rows, least, shortest).collect()
+    want = _alike(keys, least, shortest)
+    assert sorted((r.left, r.right) for r in got) == sorted(want) and all(abs(r.ratio - want[r.left, r.right]) < 6e-5 for r in got)
+
+
+def test_similar_names_of_few_words_are_compared_with_few_others(spark):
+    """Names put together from few words share their words with most others; that alone must not pair them."""
+    first, last = [chr(0x4E00 + 2 * i) + chr(0x4E01 + 2 * i) for i in range(12)], [chr(0x5E00 + 3 * i) + chr(0x5E01 + 3 * i) + chr(0x5E02 + 3 * i)[: i % 2] for i in range(20)]
+    keys = {a + b + c for a in first for b in ["", *first] for c in last}
+    rows = spark.createDataFrame([("T", k) for k in sorted(keys)], "type string, name string")
+    n, pairs = resolution.similar_candidates(rows, 0.88, 2).count(), resolution.similar_names(rows).count()
+    assert pairs >= 12 * 12 * 20 and n <= 1.5 * pairs
